@@ -36,7 +36,8 @@ def trailing_totals(df: DataFrame, entity: Sequence[str], day: str, n: str, valu
     blocks. The calendar meets the totals in that same grouping, which is also null-safe on the entity columns.
 
     Result: the entity columns, ``day`` as ``valid_date``, and per period ``n_P`` BIGINT and ``mean_P`` DOUBLE (NULL where no row
-    of the period has both a count and a value). An empty input gives no rows. Rows without a value count in ``n_P`` only.
+    of the period has both a count and a value); the weighted sum is rounded to 6 places first, so that the mean does not
+    depend on the order of addition. An empty input gives no rows. Rows without a value count in ``n_P`` only.
     """
     keys = [f"e{i}" for i in range(len(entity))]
     longest = max(periods)
@@ -64,5 +65,5 @@ def trailing_totals(df: DataFrame, entity: Sequence[str], day: str, n: str, valu
     sums = totals.unionByName(calendar).groupBy(*keys, "d").agg(F.max("cal").alias("cal"), *[F.sum(x).alias(x) for x in names])
     out = [F.col(f"e{i}").alias(e) for i, e in enumerate(entity)] + [F.col("d").alias("valid_date")]
     for p in periods:
-        out += [F.col(f"n{p}").alias(f"n_{p}"), F.when(F.col(f"w{p}") > 0, F.col(f"s{p}") / F.col(f"w{p}")).alias(f"mean_{p}")]
+        out += [F.col(f"n{p}").alias(f"n_{p}"), F.when(F.col(f"w{p}") > 0, F.round(f"s{p}", 6) / F.col(f"w{p}")).alias(f"mean_{p}")]
     return sums.where("cal").select(*out)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from skyloom.operators import late_events, once, regular_grid, rolling
+from skyloom.operators import late_events, once, regular_grid, rolling, spikes, units
 from skyloom.session import table
 
 SERIES = ("location_id", "model", "variable", "lead_day")
@@ -21,7 +21,7 @@ def p1_totals(spark: SparkSession, d: str) -> DataFrame:
     t = _totals(spark, d)
     return t.select(
         "location_id", "model", "variable", F.col("lead_day").cast("long").alias("lead_day"), F.date_format("valid_date", "yyyy-MM-dd").alias("valid_date"),
-        "n_7", "n_30", F.round("mean_7", 6).alias("mae_7"), F.round("mean_30", 6).alias("mae_30"),
+        "n_7", "n_30", F.col("mean_7").alias("mae_7"), F.col("mean_30").alias("mae_30"),
     )
 
 
@@ -64,7 +64,23 @@ def p5_found(spark: SparkSession, d: str) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_totals, p2_found, p2_hourly, p4_found, p4_grid, p5_found)}
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    u = units.decoded(table(spark, d, "iem_asos_sample"), table(spark, d, "open_meteo_forecast_response"))
+    return u.where("unit <> usual").select("table_name", "record_id", "field_name")
+
+
+def p3_values(spark: SparkSession, d: str) -> DataFrame:
+    return units.converted(table(spark, d, "iem_asos_sample"), table(spark, d, "open_meteo_forecast_response"))
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    v = table(spark, d, "dim_variable")
+    o = spikes.implausible_observations(table(spark, d, "observation"), v)
+    f = spikes.implausible_forecasts(table(spark, d, "forecast"), v)
+    return o.select(F.lit("observation").alias("table_name"), F.col("id").alias("row_id")).unionByName(f.select(F.lit("forecast").alias("table_name"), F.col("id").alias("row_id")))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_totals, p2_found, p2_hourly, p3_found, p3_values, p4_found, p4_grid, p5_found, p7_found)}
 
 _DAILY = """
 WITH ranked AS (
@@ -121,7 +137,7 @@ SQL = {
     "p1_found": _DAILY + "SELECT location_id, model, variable, CAST(lead_day AS BIGINT) AS lead_day, strftime(d, '%Y-%m-%d') AS valid_date FROM rolled WHERE n7 = 0",
     "p1_totals": _DAILY
     + """SELECT location_id, model, variable, CAST(lead_day AS BIGINT) AS lead_day, strftime(d, '%Y-%m-%d') AS valid_date,
-      CAST(n7 AS BIGINT) AS n_7, CAST(n30 AS BIGINT) AS n_30, round(CASE WHEN w7 > 0 THEN s7 / w7 END, 6) AS mae_7, round(CASE WHEN w30 > 0 THEN s30 / w30 END, 6) AS mae_30 FROM rolled""",
+      CAST(n7 AS BIGINT) AS n_7, CAST(n30 AS BIGINT) AS n_30, CASE WHEN w7 > 0 THEN round(s7, 6) / w7 END AS mae_7, CASE WHEN w30 > 0 THEN round(s30, 6) / w30 END AS mae_30 FROM rolled""",
     "p2_found": _LATE + "SELECT observation_id FROM flagged WHERE too_late",
     "p2_hourly": _LATE
     + """, ranked AS (
