@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyloom.llm import nearest_time
+from skyloom.llm import nearest_time, pii
 from skyloom.session import table
 
 
@@ -13,7 +13,15 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.where("observation_id is not null")
 
 
-QUERIES = {f.__name__: f for f in (p6_found,)}
+def p10_found(spark: SparkSession, d: str) -> DataFrame:
+    return pii.found(table(spark, d, "documents"))
+
+
+def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
+    return pii.redacted(table(spark, d, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (p6_found, p10_found, p10_redacted)}
 
 SQL = {
     "p6_found": """
