@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from skyloom.llm import nearest_time, pii
+from skyloom.llm import encode, mix, nearest_time, pii
 from skyloom.session import table
 
 
@@ -13,6 +13,18 @@ def p6_found(spark: SparkSession, d: str) -> DataFrame:
     return pairs.where("observation_id is not null")
 
 
+def p8_ids(spark: SparkSession, d: str) -> DataFrame:
+    return encode.encode_corpus(table(spark, d, "documents"))
+
+
+def p9_mix(spark: SparkSession, d: str) -> DataFrame:
+    return mix.mix(table(spark, d, "documents"), table(spark, d, "mix_target"))[0]
+
+
+def p9_shares(spark: SparkSession, d: str) -> DataFrame:
+    return mix.shares(*mix.mix(table(spark, d, "documents"), table(spark, d, "mix_target")))
+
+
 def p10_found(spark: SparkSession, d: str) -> DataFrame:
     return pii.found(table(spark, d, "documents"))
 
@@ -21,7 +33,7 @@ def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
     return pii.redacted(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p10_found, p10_redacted)}
+QUERIES = {f.__name__: f for f in (p6_found, p8_ids, p9_mix, p9_shares, p10_found, p10_redacted)}
 
 SQL = {
     "p6_found": """
