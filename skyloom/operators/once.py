@@ -91,7 +91,8 @@ def surplus(history: DataFrame, incoming: DataFrame, copies: Copies, hot_rows: i
     index = identifier_index(old)
     arriving = identifier_index(new)
     affected = index.join(arriving.select("ident").distinct(), "ident", "left_semi").select("part").distinct()
-    touched = old.join(affected.withColumn("touched", F.lit(True)), old["part"].eqNullSafe(affected["part"]), "left").drop(affected["part"])
+    # a table's partitions are days or topic partitions: their names grow with its history, not with its rows
+    touched = old.join(F.broadcast(affected.withColumn("touched", F.lit(True))), old["part"].eqNullSafe(affected["part"]), "left").drop(affected["part"])
     # one shuffle decides both: a touched partition's keys meet the incoming keys, an untouched partition's only each other
     side = F.coalesce("touched", F.lit(False))
     both = touched.withColumn("side", side).drop("touched").unionByName(new.withColumn("side", F.lit(True)))
