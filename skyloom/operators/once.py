@@ -2,18 +2,16 @@
 
 from __future__ import annotations
 
-import json
-import os
-import uuid
-from collections.abc import Sequence
 from dataclasses import dataclass
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skyloom import schemas
 from skyloom.functions.columns import hex_id, key128
+from skyloom.session import shared_dir
+from skyloom.sources.versioned import VersionedTable
 
 #: An identifier with more rows than this in one delivery log is laid out by salt before its copies meet. At most
 #: rows / HOT_ROWS identifiers can be hot, which bounds what is broadcast.
@@ -51,11 +49,6 @@ class Copies:
         )
 
 
-def identifier_index(rows: DataFrame) -> DataFrame:
-    """Identifier -> partition with the number of rows; combined map-side, so a redelivered message costs one entry per task."""
-    return rows.where(F.col("ident").isNotNull()).groupBy("ident", "part").agg(F.count(F.lit(1)).alias("n"))
-
-
 def _later(rows: DataFrame, *by: str) -> Column:
     return F.row_number().over(Window.partitionBy(*by).orderBy(F.col("at").asc_nulls_first(), F.col("id").asc_nulls_first())) > 1
 
@@ -80,95 +73,88 @@ def losers(rows: DataFrame, index: DataFrame | None = None, hot_rows: int = HOT_
     return cold.unionByName(first.where("x").select("id")).unionByName(second.where("x").select("id"))
 
 
+def _surplus(rows: DataFrame, hot_rows: int) -> DataFrame:
+    """``surplus`` of rows (see ``Copies.rows``) with ``new``: whether they belong to the incoming batch. One index serves all lookups."""
+    index = (
+        rows.where(F.col("ident").isNotNull()).groupBy("ident", "part")
+        .agg(F.count(F.lit(1)).alias("n"), F.max("new").alias("arrives"), F.min("new").alias("only_new"))
+    )
+    arriving = index.where("arrives").select("ident").distinct()
+    affected = index.where("not only_new").join(arriving, "ident", "left_semi").select("part").distinct()
+    # a table's partitions are days or topic partitions: their names grow with its history, not with its rows
+    touched = rows.join(F.broadcast(affected.withColumn("touched", F.lit(True))), rows["part"].eqNullSafe(affected["part"]), "left").drop(affected["part"])
+    # one shuffle decides both: a touched partition's keys meet the incoming keys, an untouched partition's only each other
+    side = F.coalesce("touched", F.lit(False)) | F.col("new")
+    whole = touched.withColumn("k1", F.when(side, F.col("k1")).otherwise(F.xxhash64("k1")))
+    return losers(whole, index, hot_rows)
+
+
 def surplus(history: DataFrame, incoming: DataFrame, copies: Copies, hot_rows: int = HOT_ROWS) -> DataFrame:
     """The surplus rows of a delivery log that arrived as ``history`` and then ``incoming``, as one column ``id``.
 
-    The identifier index of the history tells which of its partitions hold an identifier of the incoming messages. Those
+    The identifier index tells which partitions of the history hold an identifier of the incoming messages. Those
     partitions are combined with the incoming rows and their winners recomputed; the other partitions are decided by
     themselves. Copies share a partition, so the two decisions never overlap.
     """
     old, new = copies.rows(history), copies.rows(incoming)
-    index = identifier_index(old)
-    arriving = identifier_index(new)
-    affected = index.join(arriving.select("ident").distinct(), "ident", "left_semi").select("part").distinct()
-    # a table's partitions are days or topic partitions: their names grow with its history, not with its rows
-    touched = old.join(F.broadcast(affected.withColumn("touched", F.lit(True))), old["part"].eqNullSafe(affected["part"]), "left").drop(affected["part"])
-    # one shuffle decides both: a touched partition's keys meet the incoming keys, an untouched partition's only each other
-    side = F.coalesce("touched", F.lit(False))
-    both = touched.withColumn("side", side).drop("touched").unionByName(new.withColumn("side", F.lit(True)))
-    whole = both.withColumn("k1", F.when(F.col("side"), F.col("k1")).otherwise(F.xxhash64("k1"))).drop("side")
-    return losers(whole, index.unionByName(arriving), hot_rows)
+    return _surplus(old.withColumn("new", F.lit(False)).unionByName(new.withColumn("new", F.lit(True))), hot_rows)
 
 
 def surplus_by_arrival(df: DataFrame, copies: Copies, cut: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``surplus`` of one table that holds both sides: rows with ``arrival < cut`` are the history."""
-    old = F.coalesce(F.col(copies.arrival) < cut, F.lit(True))
-    return surplus(df.where(old), df.where(~old), copies, hot_rows)
+    """``surplus`` of one table that holds both sides: rows with ``arrival < cut`` (or without one) are the history."""
+    return _surplus(copies.rows(df).withColumn("new", F.coalesce(F.col("at") >= cut, F.lit(False))), hot_rows)
 
 
 class OnceStore:
     """A partitioned table that keeps exactly one copy of each message, with its identifier index beside it.
 
-    Every partition is a folder of Parquet files under a fresh name; ``manifest.json`` names the folders that are valid. A merge writes
-    the recomputed partitions and their index under new names and then replaces the manifest in one atomic rename: readers see
-    either all affected partitions as before or all as after, and a job that dies halfway leaves only unreferenced folders.
-    The file system must rename atomically (local, NFS, HDFS). One writer at a time.
+    Both are ``VersionedTable``s: a merge writes the recomputed partitions under new names and makes them valid in one
+    atomic rename, rows first and then the index. If the index is lost in between, ``reindex`` restores it from the rows.
     """
 
-    def __init__(self, spark: SparkSession, root: str, copies: Copies):
-        self.spark, self.root, self.copies = spark, root.removeprefix("file://"), copies
-
-    def _manifest(self) -> dict:
-        p = f"{self.root}/manifest.json"
-        if not os.path.exists(p):
-            return {"version": 0, "rows": {}, "index": {}}
-        with open(p) as f:
-            return json.load(f)
+    def __init__(self, spark: SparkSession, root: str, copies: Copies, schema: T.StructType | None = None):
+        self.copies = copies
+        self.rows = VersionedTable(spark, f"{root}/rows", copies.partition, schema)
+        self.index = VersionedTable(spark, f"{root}/index", F.col("part"), schemas.flat("ident bigint, part string"))
+        shared_dir(spark)
 
-    def read(self, schema: T.StructType | None = None) -> DataFrame | None:
-        """The rows, each once; NULL where nothing was merged yet and no schema is given."""
-        return self._load(self._manifest()["rows"].values(), schema)
+    def read(self) -> DataFrame | None:
+        return self.rows.read()
 
-    def _load(self, folders: Sequence[str], schema: T.StructType | None = None) -> DataFrame | None:
-        paths = [f"{self.root}/{f}" for f in folders]
-        if paths:
-            return self.spark.read.parquet(*paths)
-        return None if schema is None else self.spark.createDataFrame([], schema)
+    def _entries(self, df: DataFrame) -> DataFrame:
+        ident = F.xxhash64(self.copies.ident())
+        return df.where(F.col(self.copies.identifier).isNotNull()).select(ident.alias("ident"), self.rows.part().alias("part")).distinct()
 
     def merge(self, incoming: DataFrame) -> list[str]:
-        """Merge a batch; returns the partitions that were rewritten. A batch that was merged before changes nothing."""
-        c, m = self.copies, self._manifest()
-        data = incoming.columns
-        new = incoming.withColumns({"_ident": F.when(F.col(c.identifier).isNotNull(), F.xxhash64(c.ident())), "_part": F.coalesce(c.partition.cast("string"), F.lit("none"))})
-        landed = {r["_part"] for r in new.select("_part").distinct().collect()}  # partitions, not rows
+        """Merge a batch; returns the partitions that were rewritten. A batch that was merged before changes no row.
+
+        The index gives the historical partitions that hold an identifier of the batch; they and those the batch lands in
+        are combined with it, their single winners recomputed, and only they are overwritten.
+        """
+        c = self.copies
+        batch = incoming.checkpoint()
+        entries = self._entries(batch)
+        landed = {r[0] for r in batch.select(self.rows.part()).distinct().collect()}  # partitions, not rows
         if not landed:
             return []
-        index = self._load(m["index"].values())
-        known = {r["part"] for r in index.join(new.select(F.col("_ident").alias("ident")).distinct(), "ident", "left_semi").select("part").distinct().collect()} if index is not None else set()
+        known = {r[0] for r in self.index.read().join(entries.select("ident").distinct(), "ident", "left_semi").select("part").distinct().collect()}
         affected = sorted(landed | known)
-        history = self._load([m["rows"][p] for p in affected if p in m["rows"]])
-        if history is not None:
-            new = new.unionByName(history.withColumns({"_ident": F.when(F.col(c.identifier).isNotNull(), F.xxhash64(c.ident())), "_part": F.coalesce(c.partition.cast("string"), F.lit("none"))}), allowMissingColumns=True)
+        history = self.rows.read(affected)
+        both = batch if history is None else history.unionByName(batch, allowMissingColumns=True)
         a, b = key128(c.ident(), *c.natural)
-        keyed = new.withColumns({"_k1": F.when(F.col("_ident").isNull(), F.monotonically_increasing_id()).otherwise(a), "_k2": b})
-        order = Window.partitionBy("_k1", "_k2", F.isnull("_ident")).orderBy(F.col(c.arrival).asc_nulls_first(), F.col(c.row_id).asc_nulls_first())
-        winners = keyed.withColumn("_rn", F.row_number().over(order)).where("_rn = 1")
-        tag = f"v{m['version'] + 1}-{uuid.uuid4().hex[:8]}"
-        winners.select(*data, F.col("_part").alias("_folder")).write.partitionBy("_folder").parquet(f"{self.root}/rows-{tag}")
-        written = self.spark.read.option("basePath", f"{self.root}/rows-{tag}").parquet(f"{self.root}/rows-{tag}")
-        written.withColumn("ident", F.when(F.col(c.identifier).isNotNull(), F.xxhash64(c.ident()))).select("ident", F.col("_folder").cast("string").alias("part")).where("ident is not null").distinct().withColumn("_folder", F.col("part")).write.partitionBy("_folder").parquet(f"{self.root}/index-{tag}")
-        for kind in ("rows", "index"):
-            base = f"{self.root}/{kind}-{tag}"
-            for name in os.listdir(base):
-                if name.startswith("_folder="):
-                    m[kind][name.removeprefix("_folder=")] = f"{kind}-{tag}/{name}"
-        m["version"] += 1
-        temporary = f"{self.root}/manifest.{uuid.uuid4().hex}"
-        with open(temporary, "w") as f:
-            json.dump(m, f)
-        os.replace(temporary, f"{self.root}/manifest.json")
+        lone = F.col(c.identifier).isNull()
+        keyed = both.withColumns({"_k1": F.when(lone, F.xxhash64(c.row_id)).otherwise(a), "_k2": F.when(lone, F.lit(-1).cast("bigint")).otherwise(b)})
+        order = Window.partitionBy("_k1", "_k2").orderBy(F.col(c.arrival).asc_nulls_first(), F.col(c.row_id).asc_nulls_first())
+        winners = keyed.withColumn("_rn", F.row_number().over(order)).where("_rn = 1").select(*both.columns).checkpoint()
+        self.rows.replace(winners, affected)
+        self.index.replace(self._entries(winners), affected)
         return affected
 
+    def reindex(self) -> None:
+        rows = self.rows.read()
+        if rows is not None:
+            self.index.replace(self._entries(rows), set(self.rows.partitions()) | set(self.index.partitions()))
+
 
 def forecast_copies() -> Copies:
     return Copies("source_event_id", ("model", "location_id", "init_time", "valid_time", "variable"), "inserted_at", "forecast_id", F.to_date("init_time"))
@@ -182,6 +168,3 @@ def dead_letter_copies() -> Copies:
     """Dead letters have no hexadecimal id: topic, partition and offset identify the message."""
     return Copies("source_topic", ("source_partition", "source_offset"), "failed_at", "dlq_id", F.concat_ws("/", F.col("source_topic"), F.col("source_partition").cast("string")), hexadecimal=False)
 
-
-def union_all(parts: Sequence[DataFrame]) -> DataFrame:
-    return reduce(DataFrame.unionByName, parts)
