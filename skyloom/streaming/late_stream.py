@@ -23,7 +23,7 @@ def _judge(lateness_us: int):
         d = pd.concat(list(frames)).sort_values(["ar", "observation_id"], kind="stable", ignore_index=True)
         counts = d["ev"].where(d["ev"] <= d["ar"]).astype("Float64")
         # the watermark a row meets comes from strictly earlier arrivals only
-        best = counts.groupby(d["ar"]).max().cummax()
+        best = counts.groupby(d["ar"]).max().cummax().ffill()
         seen = best.shift(1)
         if mark is not None:
             seen = seen.fillna(mark).clip(lower=mark)
