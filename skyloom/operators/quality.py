@@ -118,8 +118,8 @@ def duplicate_keys(df: DataFrame, key: Sequence[str]) -> DataFrame:
     return df.groupBy(*key).agg(F.count(F.lit(1)).alias("copies")).where("copies > 1")
 
 
-def validate(df: DataFrame, contract: Contract, *, unique: bool = False, sample: int = 3) -> DataFrame:
-    """One row per check and a summary ``all_checks`` per severity: rows checked and failed, passed, up to three failing rows as text.
+def validate(df: DataFrame, contract: Contract, *, unique: bool = False) -> DataFrame:
+    """One row per check and a summary ``all_checks`` per severity: rows checked and failed, passed, and a failing row as text.
 
     All checks are evaluated in one pass over the rows. A failure of the frame counts as all rows failed and leaves out the
     warnings; the summary then still reports what the row checks alone found. An empty frame gives no rows. ``unique`` adds the key's
@@ -135,11 +135,11 @@ def validate(df: DataFrame, contract: Contract, *, unique: bool = False, sample:
         checks = [c for c in checks if c.severity == BLOCKING]
     show = F.left(F.to_json(F.struct(*[F.col(c) for c in df.columns if c != "_copies"])), F.lit(400))
     fails = {f"f{i}": _fails(c) for i, c in enumerate(checks)}
-    marked = df.withColumns(fails).withColumn("_row", show) if checks else df.withColumn("_row", show)
+    marked = df.withColumns(fails) if checks else df
     cols = [F.count(F.lit(1)).alias("rows")]
     for i in range(len(checks)):
         cols.append(F.sum(F.col(f"f{i}").cast("bigint")).alias(f"n{i}"))
-        cols.append(F.min(F.when(F.col(f"f{i}"), F.col("_row"))).alias(f"s{i}"))  # one example is enough; a list would grow
+        cols.append(F.min(F.when(F.col(f"f{i}"), show)).alias(f"s{i}"))  # one example, made of failing rows only; a list would grow
     groups = {}
     for sev in (BLOCKING, WARNING):
         own = [i for i, c in enumerate(checks) if c.severity == sev]
