@@ -28,12 +28,14 @@ TITLES = "Mr Mrs Miss Ms Dr Rev Capt Prof Sir Col Major Alderman Councillor Cllr
 NOT_SURNAMES = "The This That These Those It In On At And But For From With Work Notice Members Residents Entries Enquiries Minute Old Eggs Fat A An No His Her Hls Your Of Signed Apply Tickets Winners Anyone Mail Lost Found Wanted Sale Situation Telephone Phone Page Best Early Terms Free Good Try Box Lot Ref Case Write Cook Reward Road Street Lane Avenue Close Terrace Rd Ave St Terr Monday Tuesday Wednesday Thursday Friday Saturday Sunday January February March April May June July August September October November December Der Die Das Den Dem Des Ein Eine Im Am An Auf Bei Beim Bis Es Er Sie Und Oder Von Vom Wie Seit Man Mit Nach Zum Zur Aus Telefon Auskunft Anmeldungen Verloren Ausweis Nr Chiffre Gesucht Verkaufen Montag Dienstag Mittwoch Donnerstag Freitag Samstag Sonntag Januar Februar März Mai Juni Juli Oktober Dezember Mark Le La Les Un Une Des Du De Et Ou Au Aux En On Il Elle Par Pour Perdu Depuis Hier Prix Tél Téléphone Leçons Écrire Vendre Demande Annonce Président Vapeur Route Travaux Lundi Mardi Mercredi Jeudi Vendredi Samedi Dimanche El Los Las Una Del Al Se Su Por Para Desde Informes Falleció Extraviada Escribir Teléfono Tel Apartado Precios Busca Vende Clases Presidente Vapor Camino Obras Lunes Martes Miércoles Viernes Sábado Domingo Acudieron Steamer Star Sur Lady Residents Young Farmers Registered Journal Issn Office Value Delivery"
 FIRM_BEFORE = "Messrs Gebr Gebrüder Casa Hijos Kaufhaus Maison Établ Établissements Étab Firma Hermanos Viuda Lady Star Steamer Dampfer Vapeur Vapor St Saint San Santa Sankt"
 FIRM_AFTER = "& Bros Brothers Sons Son Co Ltd Stores Cie Fils Söhne Hnos Hermanos Hijos GmbH AG Cafe Café Hotel Company"
-STREET_EN = "Street St Road Rd Avenue Ave Av Lane Ln Close Cl Terrace Terr Ter Drive Dr Court Ct Place Pl Square Sq Crescent Cres Gardens Gdns Grove Gr Row Mews Way Walk Boulevard Blvd Parade Hill Rise Green Quay Park"
-STREET_DE = "straße strasse str weg gasse platz allee ring damm ufer steig graben markt"
-STREET_FR = "rue avenue av boulevard bd place pl allée allées chemin ch impasse quai cours square passage route faubourg r"
+STREET_EN = "Street St Road Rd Avenue Ave Av Lane Ln Close Cl Terrace Terr Ter Drive Dr Court Ct Place Pl Square Sq Crescent Cres Gardens Gdns Grove Gr Row Mews Way Walk Boulevard Blvd Parade"
+STREET_DE = "straße strasse str weg gasse platz allee"
+STREET_FR = "rue avenue av boulevard bd place pl allée allées chemin ch impasse quai cours square passage faubourg r"
 STREET_ES = "calle c/ avenida avda av plaza pza plza paseo pº ronda travesía cuesta callejón carretera ctra camino glorieta"
 #: Words before a candidate that speak for a kind of item.
-NAME_CUES = "Signed bride groom Winners by call Apply Enquiries erteilt bei starb Vorsitzende Vorsitzender Es presidente président Informes avisar Falleció décès adresser rapporter por par remember memory late"
+NAME_CUES = "Signed bride groom Winners erteilt starb Vorsitzende Vorsitzender presidente président Informes avisar Falleció décès adresser rapporter remember"
+#: Second words of places: what they end is a place, not a person.
+PLACE_WORDS = "Green Cross Quay Bridge Harbour Bay Moor Eaton Dray Sarrow Sarro Town City Hall Church Island River Valley"
 ID_CUES = "number numbered card papers claim identity insurance social security passport licence clerk wallet Ausweis Ausweises Personalausweis Kennkarte Nr carte identité n° sécurité documento DNI NIF cédula identidad"
 NUMBER_NOT_PHONE = "ISSN ISBN patent Minute shelf Lot Ref Box No Case Chiffre Apartado report register registered docket invoice"
 COUNTRY_DIGITS = {"44": 10, "1": 10, "33": 9, "49": 11, "34": 9, "353": 9, "39": 10, "31": 9, "32": 9, "41": 9, "43": 11, "351": 9}
@@ -55,6 +57,7 @@ def _shapes(words: str) -> frozenset[str]:
 
 
 _GIVEN = _shapes(f"{GIVEN_EN} {GIVEN_DE} {GIVEN_FR} {GIVEN_ES}")
+_STOP, _PLACE = frozenset(NOT_SURNAMES.lower().split()), frozenset(PLACE_WORDS.lower().split())
 _TITLES, _NOT, _FIRM_BEFORE, _FIRM_AFTER = _shapes(TITLES), _shapes(NOT_SURNAMES), _shapes(FIRM_BEFORE), _shapes(FIRM_AFTER)
 _CUES, _ID_CUES, _NO_PHONE = _shapes(NAME_CUES), _shapes(ID_CUES), _shapes(NUMBER_NOT_PHONE)
 _STREET_EN, _STREET_SHORT = _shapes(" ".join(w for w in STREET_EN.split() if len(w) > 3)), frozenset(w for w in STREET_EN.split() if len(w) <= 3)
@@ -265,7 +268,7 @@ _HOUSE = re.compile(rf"(?<![\w.,£$/+-])[1-9l]{_D}{{0,4}}(?![\d.,]*\d)")
 _LETTER = re.compile(r" ?[A-Za-z]\b")
 _CAP = re.compile(r"(?:(?:[A-ZÀ-Þ]|[805](?=[a-z]))[\wſ'’]*\.?|[A-ZÀ-Þ][\w'’]*-[\w'’]+)(?: |$|(?=\W))")
 _FR = re.compile(
-    r"(?: ?(?:bis|ter|quater|[A-Da-d]))?,? (?i:r[un][ec]|[aoun]v[ecoaun]+n?[unao]*[ec]|av\.|b[oau0]+[ul1]+[ec]v[aun][rn]d|bd\.?|p[l1i][aunf][ec][ec]|pl\.|[aun]l?[l1i]+[ée6c]+s?|[ec]h[ec]m[il1]n|imp[aun]ss[ec]|q[un]ai|[ec]ours|squar[ec]|passag[ec]|r[oc]ut[ec]|faubourg) "
+    r"(?: ?(?:bis|ter|quater|[A-Da-d]))?,? (?i:r[un][ec]|[aoun]v[ecoaun]+n?[unao]*[ec]|av\.|b[oau0]+[ul1]+[ec]v[aun][rn]d|bd\.?|p[l1i][aunf][ec][ec]|pl\.|[aun]l?[l1i]+[ée6c]+s?|[ec]h[ec]m[il1]n|imp[aun]ss[ec]|q[un]ai|[ec]ours|squar[ec]|passag[ec]|faubourg) "
     r"(?:(?:d|cl)[ecoun][sſ5l]?(?: [l1i][aun])? |(?:d|cl)[ec] l['’]|d['’]|[l1i][aunec][sſ5]? )*[A-ZÀ-Þ][\wſ'’-]*(?: [A-ZÀ-Þ][\wſ'’-]*)?"
 )
 _ES = re.compile(
@@ -299,6 +302,8 @@ def find_addresses(s: str) -> Iterator[tuple[str, int, int]]:
     french = any(w in s for w in (" le ", " du ", " et ", " des ", " une "))
     for m in _HOUSE.finditer(s):
         start, end = m.span()
+        if end - start == 1 and s[start] == "l":
+            continue
         letter = _LETTER.match(s, end)
         after = letter.end() if letter else end
         if s[after : after + 1] == " " and (s[after + 1 : after + 2].isupper() or s[after + 1 : after + 2] in "805") and (e := _english(s, after + 1)):
@@ -314,7 +319,7 @@ def find_addresses(s: str) -> Iterator[tuple[str, int, int]]:
             continue
         k = max(s.rfind(" ", 0, start - 1), s.rfind("-", 0, start - 1)) + 1
         word = s[k : start - 1].rstrip(".")
-        if len(word) > 4 and word[0].isupper() and shape(word).endswith(_STREET_DE):
+        if len(word) > 5 and word[0].isupper() and not word.isupper() and shape(word[2:]).endswith(_STREET_DE) and any(c.isdigit() for c in m.group()):
             yield "address", k, after
         elif spanish and (e := _ES.search(s, max(0, start - 56), start)):
             x = _ES_LETTER.match(s, end)
@@ -344,6 +349,8 @@ def _judge(w: str) -> str:
         return "I" if w[0].isalpha() else "8"
     if len(w) == 1:
         return "-"
+    if w.lower() in _STOP:
+        return "U"
     sh = shape(w)
     if sh in _TITLES:
         return "T"
@@ -412,6 +419,8 @@ def find_names(s: str, french: bool) -> Iterator[tuple[str, int, int]]:
                 score -= 0.7
             if score >= THRESHOLD:
                 end = words[j][1]
+        if end is not None and given == initials == 0 and (words[j][2].lower() in _PLACE or j < n - 1 and joined(j) and words[j + 1][2].lower() in _PLACE):
+            end = None
         if end is not None:
             yield "person_name", words[first][0], end
             i = j + 1
