@@ -10,9 +10,12 @@ from skyloom.functions.columns import DAY_US, int_floor_div, micros, number
 TOLERANCE_US = 30 * 60 * 1_000_000
 #: Times of one entity are sorted together within one such period; must not be below the tolerance.
 BLOCK_US = DAY_US
+#: Left rows of one entity and block beyond which they are spread over SALTS parts, each with the block's right records. At most
+#: left rows / HOT_ROWS blocks can be hot, which bounds what is broadcast.
+HOT_ROWS, SALTS = 1_000_000, 32
 
 
-def nearest_pairs(left: DataFrame, right: DataFrame, tolerance_us: int = TOLERANCE_US, block_us: int = BLOCK_US) -> DataFrame:
+def nearest_pairs(left: DataFrame, right: DataFrame, tolerance_us: int = TOLERANCE_US, block_us: int = BLOCK_US, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``left`` (``id``, ``entity``, ``t`` in microseconds) with the nearest ``right`` (``id``, ``entity``, ``t``, ``rank``) of its entity.
 
     Both tables are united and sorted per entity and time; the last and, in the opposite order, the next right-side record
@@ -20,22 +23,32 @@ def nearest_pairs(left: DataFrame, right: DataFrame, tolerance_us: int = TOLERAN
     record; of right records at one time the one with the smallest ``rank`` (any orderable value), then ``id`` counts.
 
     An entity is laid out in blocks of time, so none is gathered whole; a right record near a block's edge is also carried
-    into the neighbouring block, a left row lies in its own block only. Left rows keep their number: ``right_id`` is NULL without a
+    into the neighbouring block, a left row lies in its own block only. Blocks with very many left rows (copies, or a very
+    frequent entity) are spread by salt, and their right records are repeated in every part. Left rows keep their number: ``right_id`` is NULL without a
     partner. NULL entities or times have no partner. Right records at one time are reduced map-side before the shuffle.
     """
     if block_us < tolerance_us:
         raise ValueError("a block must be at least as long as the tolerance")
-    r = (
+    lb = left.withColumn("block", int_floor_div(F.col("t"), block_us))
+    hot = lb.where(F.col("entity").isNotNull() & F.col("t").isNotNull()).groupBy("entity", "block").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows)
+    hot = F.broadcast(hot.select("entity", "block", F.lit(SALTS).alias("salts")))
+    best = (
         right.where(F.col("entity").isNotNull() & F.col("t").isNotNull())
         .groupBy("entity", "t")
         .agg(F.min(F.struct("rank", "id")).alias("best"))
         .select("entity", "t", F.col("best.id").alias("rid"))
         .withColumn("block", F.explode(F.array_distinct(F.array(*[int_floor_div(F.col("t") + d, block_us) for d in (-tolerance_us, 0, tolerance_us)]))))
-        .select("entity", "block", "t", F.struct(F.col("t").alias("t"), F.col("rid").alias("id")).alias("rec"), F.lit(None).cast("bigint").alias("id"), F.lit(0).alias("side"))
     )
-    l = left.select("entity", int_floor_div(F.col("t"), block_us).alias("block"), "t", F.lit(None).cast(r.schema["rec"].dataType).alias("rec"), "id", F.lit(1).alias("side"))
-    back = Window.partitionBy("entity", "block").orderBy("t", "side").rowsBetween(Window.unboundedPreceding, 0)
-    ahead = Window.partitionBy("entity", "block").orderBy(F.col("t").desc(), "side").rowsBetween(Window.unboundedPreceding, 0)
+    r = best.join(hot, ["entity", "block"], "left").select(
+        "entity", "block", F.explode(F.sequence(F.lit(0), F.coalesce("salts", F.lit(1)) - 1)).alias("salt"), "t",
+        F.struct(F.col("t").alias("t"), F.col("rid").alias("id")).alias("rec"), F.lit(None).cast("bigint").alias("id"), F.lit(0).alias("side"),
+    )
+    # rows without an entity or time meet nothing; they are spread by their id
+    alone = F.col("entity").isNull() | F.col("t").isNull()
+    salt = F.when(alone | F.col("salts").isNotNull(), F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int")).otherwise(F.lit(0))
+    l = lb.join(hot, ["entity", "block"], "left").select("entity", "block", salt.alias("salt"), "t", F.lit(None).cast(r.schema["rec"].dataType).alias("rec"), "id", F.lit(1).alias("side"))
+    back = Window.partitionBy("entity", "block", "salt").orderBy("t", "side").rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy("entity", "block", "salt").orderBy(F.col("t").desc(), "side").rowsBetween(Window.unboundedPreceding, 0)
     both = l.unionByName(r).withColumn("a", F.last("rec", ignorenulls=True).over(back)).withColumn("b", F.last("rec", ignorenulls=True).over(ahead)).where("side = 1")
     da, db = F.col("t") - F.col("a.t"), F.col("b.t") - F.col("t")
     near_a, near_b = F.coalesce(da <= tolerance_us, F.lit(False)), F.coalesce(db <= tolerance_us, F.lit(False))

@@ -64,4 +64,5 @@ def test_small_blocks_give_the_same(spark):
     right = spark.createDataFrame([(i, rnd.randrange(3), rnd.randrange(-500, 500), 0) for i in range(80)], "id bigint, entity bigint, t bigint, rank int")
     a = tuples(nearest_pairs(left, right, 7, 7).na.fill(-1), "id", "right_id")
     b = tuples(nearest_pairs(left, right, 7, 100_000).na.fill(-1), "id", "right_id")
-    assert a == b and len(a) == 300
+    c = tuples(nearest_pairs(left, right, 7, 100_000, hot_rows=10).na.fill(-1), "id", "right_id")
+    assert a == b == c and len(a) == 300
