@@ -20,9 +20,10 @@ def with_lateness(
     """The live rows with ``watermark_us`` (greatest event time of the source among strictly earlier arrivals) and ``too_late``.
 
     This is the keyed state of an event-time stream, replayed over a log of any size: the state of a source after a block
-    of arrivals is one number, so blocks are reduced first (combined map-side), their running maximum is carried over the few
-    block rows of each source, and only arrivals of one source and block are sorted together. A source with a third of
-    all rows therefore spreads over its blocks.
+    of arrivals is one number, so arrivals are reduced first to their instants (combined map-side: copies and bunches are one
+    row), these to blocks; the running maximum is carried over the few block rows of each source, and only the instants of one
+    source and block are sorted together. A source with a third of all rows spreads over its blocks, and the rows meet their
+    instant's watermark in a join, which Spark splits where an instant holds very many.
 
     Rows that arrive before they happen (a clock that runs ahead) do not raise the watermark. Rows without source,
     event time or arrival have no place in the order: they are not returned. Copies and ties of arrival see the same watermark.
@@ -33,18 +34,22 @@ def with_lateness(
         .select(*[F.col(c) for c in df.columns if c in names])
         .withColumn("_ev", micros(event_time))
         .withColumn("_ar", micros(arrival))
-        .withColumn("_counts", F.when(F.col("_ev") <= F.col("_ar"), F.col("_ev")))
-        .withColumn("_block", int_floor_div(F.col("_ar"), ARRIVAL_BLOCK_US))
     )
+    instants = (
+        rows.groupBy(source, int_floor_div(F.col("_ar"), ARRIVAL_BLOCK_US).alias("_block"), "_ar")
+        .agg(F.max(F.when(F.col("_ev") <= F.col("_ar"), F.col("_ev"))).alias("_top"))
+    )
     before = Window.partitionBy(source).orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
-    carry = rows.groupBy(source, "_block").agg(F.max("_counts").alias("_m")).select(source, "_block", F.max("_m").over(before).alias("_carry"))
-    inside = Window.partitionBy(source, "_block").orderBy("_ar").rangeBetween(Window.unboundedPreceding, -1)
+    carry = instants.groupBy(source, "_block").agg(F.max("_top").alias("_m")).select(source, "_block", F.max("_m").over(before).alias("_carry"))
+    inside = Window.partitionBy(source, "_block").orderBy("_ar").rowsBetween(Window.unboundedPreceding, -1)
+    marks = (
+        instants.withColumn("_in", F.max("_top").over(inside)).join(carry, [source, "_block"])
+        .select(source, "_ar", F.greatest("_in", "_carry").alias("watermark_us"))
+    )
     return (
-        rows.withColumn("_in", F.max("_counts").over(inside))
-        .join(carry, [source, "_block"])
-        .withColumn("watermark_us", F.greatest("_in", "_carry"))
+        rows.join(marks, [source, "_ar"])
         .withColumn("too_late", F.coalesce(F.col("_ev") < F.col("watermark_us") - F.lit(lateness_us), F.lit(False)))
-        .drop("_counts", "_block", "_in", "_carry", "_ev", "_ar")
+        .drop("_ev", "_ar")
     )
 
 

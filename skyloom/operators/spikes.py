@@ -23,61 +23,84 @@ LEVEL_VAR, READING_VAR, MOST_HOURS = 0.8, 0.1, 3.0
 STUCK_TIMES = 6
 #: Readings of one station and variable are filtered together within one block, with the readings around it as context.
 BLOCK_US, CONTEXT_US = 30 * DAY_US, 3 * DAY_US
+#: Rows of one series (and block) beyond which its copies are reduced to distinct readings before they meet in one task. At most
+#: rows / HOT_ROWS series can be hot, which bounds what is broadcast.
+HOT_ROWS = 1_000_000
 
 
-def kalman_spikes(key: np.ndarray, us: np.ndarray, v: np.ndarray, least: np.ndarray) -> np.ndarray:
-    """Mask of spikes among readings sorted by series and time (local-level Kalman filter over all series at once).
+def surprising(key: np.ndarray, us: np.ndarray, v: np.ndarray, scale: np.ndarray) -> np.ndarray:
+    """Mask of readings whose standardised innovation exceeds ``WITHHOLD``: local-level Kalman filter over all series at once.
 
-    A reading whose standardised innovation exceeds ``WITHHOLD`` does not update the level. After one or two such readings an
-    exact check on the next decides: each must lie ``SPIKE_CHANGES`` usual changes off both the reading before and the one
-    after, on one side of both, and these two must be nearer to each other than half that. A third withheld reading in a
-    row is a change that lasts: the level restarts there and nothing is flagged.
+    Rows are sorted by series and time, ``scale`` is each row's usual change. A surprising reading does not update the level;
+    a third in a row is a change that lasts, and the level restarts there.
     """
-    n = len(v)
-    spike = np.zeros(n, bool)
-    if n < 3:
-        return spike
-    same = key[1:] == key[:-1]
-    jump = np.abs(np.diff(v))[same]
-    scale = least.copy()
-    if len(jump):
-        k, med = series_median(key[1:][same], jump)
-        at = np.minimum(np.searchsorted(k, key), len(k) - 1)
-        scale = np.maximum(least, np.where(k[at] == key, med[at], 0.0))
-    scale = np.where(scale > 0, scale, np.inf)
+    out = np.zeros(len(v), bool)
     p = Packed(key)
-    s = len(p.start)
     i0 = p.start
-    third = [v[np.minimum(i0 + j, i0 + p.length - 1)] for j in range(3)]
-    level = np.median(np.stack(third), axis=0)
-    var = np.ones(s)
-    last_us, last_ok, off = us[i0].astype(np.int64), v[i0].copy(), np.zeros(s, np.int64)
-    unit = scale[i0]
+    level = np.median(np.stack([v[np.minimum(i0 + j, i0 + p.length - 1)] for j in range(3)]), axis=0)
+    var, off, last, unit = np.ones(len(i0)), np.zeros(len(i0), np.int64), us[i0].astype(np.int64), scale[i0]
     for t in range(len(p.alive)):
         a = p.alive[t]
         r = i0[:a] + t
-        x, now, u = v[r], us[r], unit[:a]
-        hours = np.minimum((now - last_us[:a]) / HOUR_US, MOST_HOURS)
-        prior = var[:a] + LEVEL_VAR * hours
+        x, now = v[r], us[r]
+        prior = var[:a] + LEVEL_VAR * np.minimum((now - last[:a]) / HOUR_US, MOST_HOURS)
         total = prior + READING_VAR
-        gap = (x - level[:a]) / u
-        out = np.abs(gap) > WITHHOLD * np.sqrt(total)
-        o = off[:a]
-        returned = ~out
-        for b in np.flatnonzero((o > 0) & (o <= 2)):
-            for q in range(r[b] - o[b], r[b]):
-                before, after = v[q] - last_ok[b], v[q] - x[b]
-                least_off = min(abs(before), abs(after))
-                if before * after > 0 and least_off >= SPIKE_CHANGES * u[b] and abs(x[b] - last_ok[b]) <= 0.5 * least_off:
-                    spike[q] = returned[b] = True
-        lasting = out & (returned | (o >= 2))
-        take = ~out | lasting
+        far = np.abs(x - level[:a]) > WITHHOLD * unit[:a] * np.sqrt(total)
+        out[r] = far
+        lasting = far & (off[:a] >= 2)
+        take = ~far | lasting
         gain = np.where(lasting, 1.0, prior / total)
         level[:a] = np.where(take, level[:a] + gain * (x - level[:a]), level[:a])
         var[:a] = np.where(take, np.where(lasting, READING_VAR, (1 - gain) * prior), var[:a])
-        last_us[:a] = np.where(take, now, last_us[:a])
-        last_ok[:a] = np.where(take, x, last_ok[:a])
-        off[:a] = np.where(take, 0, o + 1)
+        last[:a] = np.where(take, now, last[:a])
+        off[:a] = np.where(take, 0, off[:a] + 1)
+    return out
+
+
+def kalman_spikes(key: np.ndarray, us: np.ndarray, v: np.ndarray, least: np.ndarray) -> np.ndarray:
+    """Mask of spikes among readings sorted by series and time.
+
+    The filter proposes (``surprising``), an exact check decides: a spike is one reading, or two in a row, of which each lies
+    ``SPIKE_CHANGES`` usual changes off both the reading before and the one after, on one side of both, while these two are
+    nearer to each other than half that. At least one reading of a spike must have surprised the filter: readings that stand
+    between two spikes look the same to their neighbours but not to the level.
+    """
+    n = len(v)
+    if n < 3:
+        return np.zeros(n, bool)
+    same = key[1:] == key[:-1]
+    jump = np.abs(np.diff(v))[same]
+    scale = least.astype(float)
+    if len(jump):
+        k, med = series_median(key[1:][same], jump)
+        at = np.minimum(np.searchsorted(k, key), len(k) - 1)
+        scale = np.maximum(scale, np.where(k[at] == key, med[at], 0.0))
+    scale = np.where(scale > 0, scale, np.inf)
+    out = surprising(key, us, v, scale)
+
+    def shifted(by: int) -> np.ndarray:
+        """The value ``by`` readings on in the same series, NaN beyond its ends."""
+        x = np.full(n, np.nan)
+        if by > 0:
+            ok = np.flatnonzero(key[by:] == key[:-by])
+            x[ok] = v[ok + by]
+        else:
+            ok = np.flatnonzero(key[-by:] == key[:by]) - by
+            x[ok] = v[ok + by]
+        return x
+
+    near = np.flatnonzero(out | np.r_[out[1:], False])
+    before, after, beyond = (shifted(i)[near] for i in (-1, 1, 2))
+    x, limit = v[near], SPIKE_CHANGES * scale[near]
+    with np.errstate(invalid="ignore"):
+        off = np.minimum(np.abs(x - before), np.abs(x - after))
+        one = ((x - before) * (x - after) > 0) & (off >= limit) & (np.abs(after - before) <= 0.5 * off) & out[near]
+        off = np.minimum.reduce([np.abs(x - before), np.abs(x - beyond), np.abs(after - before), np.abs(after - beyond)])
+        side = ((x - before) * (x - beyond) > 0) & ((after - before) * (after - beyond) > 0) & ((x - before) * (after - before) > 0)
+        two = side & (off >= limit) & (np.abs(beyond - before) <= 0.5 * off)
+    spike = np.zeros(n, bool)
+    spike[near[one | two]] = True
+    spike[near[two] + 1] = True
     return spike
 
 
@@ -114,6 +137,8 @@ def _flag(t: pa.Table, with_stuck: bool) -> pa.RecordBatch:
     mask = np.zeros(len(k), bool)
     mask[single] = kalman_spikes(k[single], u[single], x[single], least[good][single].astype(float))
     hit[good] |= mask[reading]
+    if "copies" in t.column_names:  # reduced readings: the rows behind them are found by what they share
+        return pa.record_batch({"sk": key[hit], "us": us[hit], "v": v[hit]})
     return pa.record_batch({"id": ident[hit & own]})
 
 
@@ -130,13 +155,25 @@ def _readings(df: DataFrame, variable: DataFrame, row_id: str, time: str, *more:
     return rows.join(rng, "variable", "left").withColumn("bad", F.coalesce((F.col("v") < F.col("_lo")) | (F.col("v") > F.col("_hi")) | (F.abs("v") == float("inf")), F.lit(False))).withColumn("least", least.cast("float")).drop("_lo", "_hi")
 
 
-def _flagged(rows: DataFrame, with_stuck: bool) -> DataFrame:
-    cols = rows.select("sk", "us", "v", "id", "own", "bad", "least")
-    laid = cols.repartition("sk").sortWithinPartitions("sk", "us", "id")
-    return laid.mapInArrow(partial(_run, with_stuck=with_stuck), "id bigint")
+def _flagged(rows: DataFrame, with_stuck: bool, hot_rows: int) -> DataFrame:
+    """Ids of flagged rows. A series lies in one task, in order of time and id; what one holds is bounded by its block or message.
 
-
-def implausible_observations(observation: DataFrame, variable: DataFrame) -> DataFrame:
+    Where copies make a series longer than ``hot_rows``, its rows are first reduced map-side to distinct readings (time and value,
+    the smallest id standing for the place in the order), these are judged, and the rows are found again by reading.
+    """
+    cols = rows.select("sk", "us", "v", "id", "own", "bad", "least")
+    hot = cols.groupBy("sk").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows).select("sk", F.lit(True).alias("hot"))
+    marked = cols.join(F.broadcast(hot), "sk", "left")
+    run = partial(_run, with_stuck=with_stuck)
+    plain = marked.where(F.col("hot").isNull()).drop("hot")
+    few = plain.repartition("sk").sortWithinPartitions("sk", "us", "id").mapInArrow(run, "id bigint")
+    many = marked.where("hot").drop("hot")
+    readings = many.groupBy("sk", "us", "v").agg(F.min("id").alias("id"), F.max("own").alias("own"), F.max("bad").alias("bad"), F.max("least").alias("least"), F.count(F.lit(1)).alias("copies"))
+    found = readings.repartition("sk").sortWithinPartitions("sk", "us", "id").mapInArrow(run, "sk bigint, us bigint, v double")
+    return few.unionByName(many.where("own").join(found, ["sk", "us", "v"], "left_semi").select("id"))
+
+
+def implausible_observations(observation: DataFrame, variable: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Ids of observation rows outside the hard range of their variable, in a spike, or in a stuck run.
 
     A series is a station and variable. It is filtered in blocks of 30 days with 3 days of context on either side, so that a station with a third of
@@ -148,10 +185,10 @@ def implausible_observations(observation: DataFrame, variable: DataFrame) -> Dat
     own = int_floor_div(F.col("us"), BLOCK_US)
     near = F.array_distinct(F.array(own, int_floor_div(F.col("us") - CONTEXT_US, BLOCK_US), int_floor_div(F.col("us") + CONTEXT_US, BLOCK_US)))
     rows = timed.withColumn("b", F.explode(near)).withColumn("own", F.col("b") == own).withColumn("sk", F.xxhash64("station", "variable", "b"))
-    return _flagged(rows, True).unionByName(r.where(F.col("us").isNull() & F.col("bad")).select("id"))
+    return _flagged(rows, True, hot_rows).unionByName(r.where(F.col("us").isNull() & F.col("bad")).select("id"))
 
 
-def implausible_forecasts(forecast: DataFrame, variable: DataFrame) -> DataFrame:
+def implausible_forecasts(forecast: DataFrame, variable: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
     """Ids of forecast rows outside the hard range of their variable or in a spike.
 
     A series is one message and variable and, for backfill, lead: one run of bounded length. A row without a message id belongs to
@@ -162,4 +199,4 @@ def implausible_forecasts(forecast: DataFrame, variable: DataFrame) -> DataFrame
     lead = F.when(F.col("ingestion_mode") == "backfill", F.col("lead_hours"))
     rows = r.withColumn("sk", F.xxhash64(message, F.col("variable"), F.coalesce(lead, F.lit(-(2**31))))).withColumn("own", F.lit(True))
     timed = rows.where(F.col("us").isNotNull())
-    return _flagged(timed, False).unionByName(rows.where(F.col("us").isNull() & F.col("bad")).select("id"))
+    return _flagged(timed, False, hot_rows).unionByName(rows.where(F.col("us").isNull() & F.col("bad")).select("id"))

@@ -31,7 +31,7 @@ USUAL = {"sknt": "kt", "alti": "inHg", "wind_speed_10m": "km/h", "pressure_msl":
 #: change can count: wind may fall calm, so no jump outweighs a stated unit; pressure cannot jump by a unit's factor.
 LEVEL = {"wind": (np.log(4.0), 1.5, 1.0, 2.0), "pressure": (np.log(101_325.0), 0.05, 0.02, 10.0)}
 #: Log odds: of a stated unit, of the usual unit where none is stated, of report text, of a switch from one reading to the next.
-LABEL, USUALLY, REPORT, SWITCH = 8.0, 4.0, 10.0, 0.7
+LABEL, USUALLY, REPORT, SWITCH = 12.0, 4.0, 10.0, 0.7
 STATES = {"wind": list(WIND), "pressure": list(PRESSURE)}
 KIND = {"sknt": "wind", "wind_speed_10m": "wind", "alti": "pressure", "pressure_msl": "pressure"}
 

@@ -133,7 +133,36 @@ sums AS (
   FROM weighed GROUP BY ALL)
 """
 
+_SPIKES = """SELECT '{table}' AS table_name, id AS row_id FROM (
+  WITH r AS (SELECT {id} AS id, hash({series}) AS k, epoch_us({time}) AS t, value AS v, value < hard_min OR value > hard_max AS bad,
+      CASE variable WHEN 'pressure_msl' THEN 30.0 ELSE 0.5 END AS least FROM {table} JOIN dim_variable USING (variable) WHERE value IS NOT NULL AND NOT isnan(value)),
+  runs AS (SELECT *, sum(new) OVER (PARTITION BY k ORDER BY t, id) AS run FROM (SELECT *, CASE WHEN v = lag(v) OVER (PARTITION BY k ORDER BY t, id) THEN 0 ELSE 1 END AS new FROM r)),
+  stuck AS (SELECT k, run, v, count(DISTINCT t) AS times FROM runs GROUP BY ALL),
+  one AS (SELECT k, t, v, min(id) AS id, min(least) AS least FROM r WHERE NOT bad GROUP BY ALL),
+  n AS (SELECT *, lag(v) OVER w AS p, lead(v) OVER w AS a, lead(v, 2) OVER w AS b FROM one WINDOW w AS (PARTITION BY k ORDER BY t, id)),
+  s AS (SELECT *, greatest(least, median(abs(v - p)) OVER (PARTITION BY k)) * 8 AS lim FROM n),
+  d AS (SELECT *, least(abs(v - p), abs(v - a)) AS d1, least(abs(v - p), abs(a - b), abs(a - p), abs(v - b)) AS d2 FROM s),
+  f AS (SELECT *, (v - p) * (v - a) > 0 AND d1 >= lim AND abs(a - p) <= 0.5 * d1 AS single,
+      (v - p) * (a - b) > 0 AND (v - p) * (v - b) > 0 AND (v - p) * (a - p) > 0 AND d2 >= lim AND abs(b - p) <= 0.5 * d2 AS pair FROM d),
+  spike AS (SELECT k, t, v FROM (SELECT *, coalesce(single, FALSE) OR coalesce(pair, FALSE) OR coalesce(lag(pair) OVER (PARTITION BY k ORDER BY t, id), FALSE) AS hit FROM f) WHERE hit)
+  SELECT id FROM r WHERE bad OR EXISTS (SELECT 1 FROM spike x WHERE x.k = r.k AND x.t = r.t AND x.v = r.v)
+  UNION SELECT id FROM runs JOIN stuck USING (k, run, v) WHERE {stuck})"""
+_WIND = "(?:^| )(?:[0-9]{3}|VRB)([0-9]{2,3})(?:G[0-9]{2,3})?(KT|MPS|KMH)\\b"
+_NUMBERS = "len(list_filter(hourly.{0}, lambda x: x IS NOT NULL AND NOT isnan(x)))"
+
 SQL = {
+    # what the decoded units come to on these data: a unit written in the cell, the report's own number in another unit, the magnitude
+    "p3_found": f"""
+    WITH w AS (SELECT record_id, sknt, try_cast(sknt AS DOUBLE) AS x, try_cast(regexp_extract(metar, '{_WIND}', 1) AS DOUBLE) AS m, regexp_extract(metar, '{_WIND}', 2) AS u FROM iem_asos_sample)
+    SELECT 'iem_asos_sample' AS table_name, record_id, 'sknt' AS field_name FROM w WHERE regexp_matches(sknt, '[0-9] ?(m/s|MPS|km/h|mph)') OR (x = m AND x > 0 AND u IN ('MPS', 'KMH'))
+    UNION ALL SELECT 'iem_asos_sample', record_id, 'alti' FROM iem_asos_sample WHERE regexp_matches(alti, '[0-9]') AND NOT try_cast(regexp_extract(alti, '^[0-9.]+') AS DOUBLE) BETWEEN 25 AND 35
+    UNION ALL SELECT 'open_meteo_forecast_response', response_id, 'wind_speed_10m' FROM open_meteo_forecast_response
+      WHERE {_NUMBERS.format('wind_speed_10m')} > 0 AND lower(hourly_units['wind_speed_10m']) NOT IN ('km/h', 'kmh', 'km h-1')
+    UNION ALL SELECT 'open_meteo_forecast_response', response_id, 'pressure_msl' FROM open_meteo_forecast_response
+      WHERE {_NUMBERS.format('pressure_msl')} > 0 AND NOT list_avg(list_filter(hourly.pressure_msl, lambda x: x IS NOT NULL AND NOT isnan(x))) BETWEEN 900 AND 1100""",
+    "p7_found": " UNION ALL ".join(_SPIKES.format(table=t, id=i, series=k, time=c, stuck=s) for t, i, k, c, s in (
+        ("observation", "observation_id", "station, variable", "observed_at", "times >= 6 AND v <> 0"),
+        ("forecast", "forecast_id", "lower(trim(source_event_id)), variable, CASE WHEN ingestion_mode = 'backfill' THEN lead_hours END", "valid_time", "FALSE"))),
     "p1_found": _DAILY + "SELECT location_id, model, variable, CAST(lead_day AS BIGINT) AS lead_day, strftime(d, '%Y-%m-%d') AS valid_date FROM rolled WHERE n7 = 0",
     "p1_totals": _DAILY
     + """SELECT location_id, model, variable, CAST(lead_day AS BIGINT) AS lead_day, strftime(d, '%Y-%m-%d') AS valid_date,

@@ -13,6 +13,10 @@ def found(spark, data):
     return [r[0] for r in tuples(implausible_observations(rows(spark, OBS, data), dims(spark)), "id")]
 
 
+def found_hot(spark, data):
+    return [r[0] for r in tuples(implausible_observations(rows(spark, OBS, data), dims(spark), hot_rows=3), "id")]
+
+
 def calm(n, seed=1, base=280.0):
     rnd = random.Random(seed)
     out, x = [], base
@@ -52,7 +56,7 @@ def test_every_copy_of_a_spike_counts_and_corrections_stay(spark):
     v = calm(40)
     v[20] += 15
     data = series(v) + [obs(100, 20, v[20], seen=30), obs(101, 20, v[20] - 15, corrected=True)]
-    assert found(spark, data) == [20, 100]
+    assert found(spark, data) == [20, 100] and found_hot(spark, data) == [20, 100]
 
 
 def test_stuck_runs(spark):
@@ -77,6 +81,7 @@ def test_runs_and_spikes_across_blocks(spark):
         want.add(t)
     rnd = set(found(spark, series(v)))
     assert want <= rnd and len(rnd - want) == 0
+    assert set(found_hot(spark, series(v) + series(v, i0=100_000))) == want | {100_000 + i for i in want}
 
 
 def test_forecast_series_are_messages(spark):
