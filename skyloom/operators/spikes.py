@@ -170,7 +170,8 @@ def _flagged(rows: DataFrame, with_stuck: bool, hot_rows: int) -> DataFrame:
     many = marked.where("hot").drop("hot")
     readings = many.groupBy("sk", "us", "v").agg(F.min("id").alias("id"), F.max("own").alias("own"), F.max("bad").alias("bad"), F.max("least").alias("least"), F.count(F.lit(1)).alias("copies"))
     found = readings.repartition("sk").sortWithinPartitions("sk", "us", "id").mapInArrow(run, "sk bigint, us bigint, v double")
-    return few.unionByName(many.where("own").join(found, ["sk", "us", "v"], "left_semi").select("id"))
+    # found is unique by reading; a semi join would be pushed below the filter on hot series and move every row
+    return few.unionByName(many.where("own").select("sk", "us", "v", "id").join(found, ["sk", "us", "v"]).select("id"))
 
 
 def implausible_observations(observation: DataFrame, variable: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
