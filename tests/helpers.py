@@ -49,3 +49,7 @@ def with_clashes(df):
 
 def tuples(df, *cols):
     return sorted(tuple(r) for r in df.select(*cols).collect())
+
+
+def acc_row(n):
+    return dict(valid_date=datetime(2025, 1, 1 + n).date(), location_id="p1", model="m", variable="temperature_2m", lead_day=1, n=n, bias=0.0, mae=1.0, rmse=1.0, computed_at=T0)
