@@ -51,8 +51,8 @@ def reconcile(spark: SparkSession, a: argparse.Namespace, s: Settings) -> int:
         good, broken = parse.split_forecasts(m) if "forecast" in topic else parse.split_observations(m, table(spark, a.data, "dim_location"), s.max_elevation_m)
         contract = quality.forecast_contract(s) if "forecast" in topic else quality.observation_contract(s)
         clean, _ = quality.gate(good, contract)
-        n = m.agg(F.count(F.lit(1)).alias("bronze"), F.countDistinct(F.get_json_object(F.col("value").cast("string"), "$.event_id")).alias("distinct_events"))
-        r = ops.reconcile(clean, t.read(), key).crossJoin(n).crossJoin(broken.agg(F.count(F.lit(1)).alias("unparseable"))).checkpoint()
+        n = m.agg(F.count(F.lit(1)).alias("bronze"), F.countDistinct(F.get_json_object(F.col("value").cast("string"), "$.event_id")).alias("events")).first()
+        r = ops.reconcile(clean, t.read(), key).withColumns({"bronze": F.lit(n["bronze"]), "distinct_events": F.lit(n["events"]), "unparseable": F.lit(broken.count())}).checkpoint()
         audit.Audit(spark, a.out).reconciliation(topic, r)
         x = r.first()
         print(topic, x.asDict())

@@ -35,16 +35,17 @@ def recombine(accuracy: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _last_day(accuracy: DataFrame) -> DataFrame:
-    return accuracy.agg(F.max("valid_date").alias("window_end"))
+def _last_day(accuracy: DataFrame) -> Column:
+    """The last verified day, as a scalar subquery."""
+    return accuracy.agg(F.max("valid_date")).scalar()
 
 
 def leaderboard(accuracy: DataFrame, windows: Sequence[int] = (7, 30)) -> DataFrame:
     """Figures of every model per window that ends on the last verified day (``valid_date > end - days``), ranked by MAE.
 
-    The windows are exploded onto the rows they hold (a row in both counts in both); the end is one row, broadcast.
+    The windows are exploded onto the rows they hold (a row in both counts in both).
     """
-    inside = accuracy.crossJoin(F.broadcast(_last_day(accuracy))).withColumn("window_days", F.explode(F.array(*[F.lit(w) for w in windows])))
+    inside = accuracy.withColumn("window_end", _last_day(accuracy)).withColumn("window_days", F.explode(F.array(*[F.lit(w) for w in windows])))
     inside = inside.where(F.col("valid_date") > F.date_add("window_end", -F.col("window_days")))
     r = recombine(inside, ("window_days", "window_end", "location_id", "variable", "lead_day", "model"))
     by = Window.partitionBy("window_days", "location_id", "variable", "lead_day").orderBy("mae")
@@ -53,7 +54,7 @@ def leaderboard(accuracy: DataFrame, windows: Sequence[int] = (7, 30)) -> DataFr
 
 def ranking(accuracy: DataFrame, variable: str, window_days: int, lead: int | None = None, location_id: str | None = None, by: Sequence[str] = ("model",)) -> DataFrame:
     """Models by MAE over one window, over all places or one; ``position`` counts 1, 2, 3 also among equals (then by model)."""
-    a = accuracy.crossJoin(F.broadcast(_last_day(accuracy))).where((F.col("variable") == variable) & (F.col("valid_date") > F.date_add("window_end", -window_days)))
+    a = accuracy.withColumn("window_end", _last_day(accuracy)).where((F.col("variable") == variable) & (F.col("valid_date") > F.date_add("window_end", -window_days)))
     if lead is not None:
         a = a.where(F.col("lead_day") == lead)
     if location_id is not None:
@@ -64,7 +65,7 @@ def ranking(accuracy: DataFrame, variable: str, window_days: int, lead: int | No
 
 def best_by_location(accuracy: DataFrame, location: DataFrame, variable: str, window_days: int, lead: int) -> DataFrame:
     """The best model of each place (all of them in a tie) with its margin to the next, NULL where there is no next."""
-    a = accuracy.crossJoin(F.broadcast(_last_day(accuracy))).where((F.col("variable") == variable) & (F.col("lead_day") == lead) & (F.col("valid_date") > F.date_add("window_end", -window_days)))
+    a = accuracy.withColumn("window_end", _last_day(accuracy)).where((F.col("variable") == variable) & (F.col("lead_day") == lead) & (F.col("valid_date") > F.date_add("window_end", -window_days)))
     r = recombine(a, ("location_id", "model"))
     w = Window.partitionBy("location_id").orderBy("mae", "model")
     ranked = r.withColumns({"r": F.rank().over(Window.partitionBy("location_id").orderBy("mae")), "margin": F.lead("mae").over(w) - F.col("mae")})

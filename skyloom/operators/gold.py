@@ -55,14 +55,14 @@ def dirty_days(forecast: DataFrame, observation: DataFrame, since: str | None, t
 
     No day lies beyond the last observation plus the tolerance. Without ``since`` every day from the first forecast on is dirty.
     """
-    limit = observation.agg(F.to_date(F.max("observed_at") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(tolerance_minutes))).alias("limit"))
+    limit = observation.agg(F.to_date(F.max("observed_at") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(tolerance_minutes)))).scalar()
     if since is None:
-        span = forecast.agg(F.to_date(F.min("valid_time")).alias("lo"), F.to_date(F.max("valid_time")).alias("hi")).crossJoin(F.broadcast(limit))
-        return span.where(F.col("lo") <= F.least("hi", "limit")).select(F.explode(F.sequence("lo", F.least("hi", "limit"))).alias("valid_date"))
+        span = forecast.agg(F.to_date(F.min("valid_time")).alias("lo"), F.to_date(F.max("valid_time")).alias("hi")).withColumn("hi", F.least(F.col("hi"), limit))
+        return span.where("lo <= hi").select(F.explode(F.sequence("lo", "hi")).alias("valid_date"))
     at = F.lit(since).cast("timestamp")
     f = forecast.where(F.col("updated_at") >= at).select(F.to_date("valid_time").alias("valid_date")).distinct()
     o = observation.where(F.col("updated_at") >= at).select(F.to_date("observed_at").alias("d")).distinct().select(F.explode(F.array(F.date_add("d", -1), F.col("d"), F.date_add("d", 1))).alias("valid_date"))
-    return f.union(o).distinct().crossJoin(F.broadcast(limit)).where(F.col("valid_date") <= F.col("limit")).select("valid_date")
+    return f.union(o).distinct().where(F.col("valid_date") <= limit)
 
 
 class Gold:
