@@ -133,12 +133,13 @@ def encode_corpus(documents: DataFrame, name: str = TOKENIZER, chunk: int = CHUN
     stitched = edges.select("doc", "n", "last", F.when(F.col("n") < F.col("last"), common).alias("to"))
     start = F.coalesce(F.last("to", ignorenulls=True).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     piece = F.coalesce(F.sum(F.col("to").isNotNull().cast("int")).over(order.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    plan = stitched.select("doc", "n", "last", "to", start.alias("start"), piece.cast("bigint").alias("piece"))
+    plan = stitched.select("doc", "n", "to", start.alias("start"), piece.cast("bigint").alias("piece"))
     # of each chunk the part that belongs to its piece: from the stitch before, or from its own start if it continues a piece
     at = F.col("n") * chunk
     own_start = F.greatest(F.col("start"), at)
     own_end = F.when(F.col("to").isNotNull(), F.col("to")).when(F.col("n") < F.col("last"), at + chunk).otherwise(F.lit(2**60))
-    parts = chunks.drop("last").join(plan, ["doc", "n"]).select("doc", "piece", "n", F.substring("text", (own_start - at + 1).cast("int"), F.least(own_end - own_start, F.lit(chunk + overlap)).cast("int")).alias("text"))
+    # every column of the chunks is used on both ways, so that their shuffle is one
+    parts = chunks.join(plan, ["doc", "n"]).select("doc", "piece", "n", F.substring("text", (own_start - at + 1).cast("int"), F.least(own_end - own_start, F.lit(chunk + overlap)).cast("int")).alias("text"))
     pieces = parts.groupBy("doc", "piece").agg(F.array_join(F.transform(F.sort_array(F.collect_list(F.struct("n", "text"))), lambda x: x["text"]), "").alias("text"))
     encoded = pieces.mapInArrow(partial(_encode, name=name), "doc struct<doc_id:bigint,row:bigint>, piece bigint, ids array<int>")
     whole = encoded.groupBy("doc").agg(F.flatten(F.transform(F.sort_array(F.collect_list(F.struct("piece", "ids"))), lambda x: x["ids"])).alias("ids"))

@@ -146,6 +146,5 @@ def shares(chosen: DataFrame, sources: list[dict]) -> DataFrame:
     spark = chosen.sparkSession
     s = spark.createDataFrame([(x["source"], x["target_share"], x["max_repeats"], x["docs"], x["tokens"]) for x in sources], "source string, target_share double, max_repeats int, docs bigint, tokens bigint")
     used = chosen.groupBy("source").agg(F.count(F.lit(1)).alias("docs_used"), F.sum("uses").cast("bigint").alias("uses"), F.sum(F.col("tokens") * F.col("uses")).alias("tokens_used"), F.max("uses").cast("bigint").alias("most_uses"))
-    all_ = used.agg(F.sum("tokens_used").alias("all_tokens"))
-    r = s.join(used, "source", "left").na.fill(0, ["docs_used", "uses", "tokens_used", "most_uses"]).crossJoin(F.broadcast(all_))
+    r = s.join(used, "source", "left").na.fill(0, ["docs_used", "uses", "tokens_used", "most_uses"]).withColumn("all_tokens", used.agg(F.sum("tokens_used")).scalar())
     return r.select("source", "target_share", "max_repeats", "docs", "tokens", "docs_used", "uses", "most_uses", "tokens_used", F.when(F.col("all_tokens") > 0, F.col("tokens_used") / F.col("all_tokens")).otherwise(F.lit(0.0)).alias("actual_share"))
