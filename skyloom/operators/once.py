@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -53,32 +54,36 @@ def _later(rows: DataFrame, *by: str) -> Column:
     return F.row_number().over(Window.partitionBy(*by).orderBy(F.col("at").asc_nulls_first(), F.col("id").asc_nulls_first())) > 1
 
 
-def losers(rows: DataFrame, index: DataFrame | None = None, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The ids of all rows but the single winner of each key, among rows with an identifier.
+def losers(rows: DataFrame, index: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``tab`` and ``id`` of all rows but the single winner of each key, among rows with an identifier.
 
     Rows of identifiers that the index shows as hot are first decided within salts, and only the winners of the salts meet: a
     group of copies that holds a third of all rows never lies in one task.
     """
-    known = rows.where(F.col("ident").isNotNull()).select("id", "at", "ident", "k1", "k2")
-    if index is None:
-        return known.withColumn("x", _later(known, "k1", "k2")).where("x").select("id")
+    out = ["tab", "id"]
+    known = rows.where(F.col("ident").isNotNull()).select("tab", "id", "at", "ident", "k1", "k2")
     hot = index.groupBy("ident").agg(F.sum("n").alias("n")).where(F.col("n") > hot_rows).select("ident", F.lit(True).alias("hot"))
-    marked = known.join(F.broadcast(hot), "ident", "left")
+    marked = known.join(F.broadcast(hot), "ident", "left").drop("ident")
     plain = marked.where(F.col("hot").isNull())
-    cold = plain.withColumn("x", _later(plain, "k1", "k2")).where("x").select("id")
+    cold = plain.withColumn("x", _later(plain, "k1", "k2")).where("x").select(*out)
     salted = marked.where(F.col("hot")).withColumn("salt", F.pmod(F.xxhash64("id"), F.lit(SALTS)))
     first = salted.withColumn("x", _later(salted, "k1", "k2", "salt"))
     kept = first.where(~F.col("x"))
     second = kept.withColumn("x", _later(kept, "k1", "k2"))
-    return cold.unionByName(first.where("x").select("id")).unionByName(second.where("x").select("id"))
+    return cold.unionByName(first.where("x").select(*out)).unionByName(second.where("x").select(*out))
 
 
 def _surplus(rows: DataFrame, hot_rows: int) -> DataFrame:
-    """``surplus`` of rows (see ``Copies.rows``) with ``new``: whether they belong to the incoming batch. One index serves all lookups."""
+    """``surplus`` of rows (see ``Copies.rows``) with ``new``: whether they belong to the incoming batch.
+
+    The index has one entry per message and partition, a small part of the rows; it is written once to the shared folder and
+    serves all three lookups.
+    """
+    shared_dir(rows.sparkSession)
     index = (
         rows.where(F.col("ident").isNotNull()).groupBy("ident", "part")
         .agg(F.count(F.lit(1)).alias("n"), F.max("new").alias("arrives"), F.min("new").alias("only_new"))
-    )
+    ).checkpoint()
     arriving = index.where("arrives").select("ident").distinct()
     affected = index.where("not only_new").join(arriving, "ident", "left_semi").select("part").distinct()
     # a table's partitions are days or topic partitions: their names grow with its history, not with its rows
@@ -96,13 +101,27 @@ def surplus(history: DataFrame, incoming: DataFrame, copies: Copies, hot_rows: i
     partitions are combined with the incoming rows and their winners recomputed; the other partitions are decided by
     themselves. Copies share a partition, so the two decisions never overlap.
     """
-    old, new = copies.rows(history), copies.rows(incoming)
-    return _surplus(old.withColumn("new", F.lit(False)).unionByName(new.withColumn("new", F.lit(True))), hot_rows)
+    old, new = (copies.rows(x).withColumns({"new": F.lit(b), "tab": F.lit(0)}) for x, b in ((history, False), (incoming, True)))
+    return _surplus(old.unionByName(new), hot_rows).select("id")
 
 
 def surplus_by_arrival(df: DataFrame, copies: Copies, cut: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
     """``surplus`` of one table that holds both sides: rows with ``arrival < cut`` (or without one) are the history."""
-    return _surplus(copies.rows(df).withColumn("new", F.coalesce(F.col("at") >= cut, F.lit(False))), hot_rows)
+    return surplus_of_tables({"": (df, copies, cut)}, hot_rows).select("id")
+
+
+def surplus_of_tables(tables: dict[str, tuple[DataFrame, Copies, Column]], hot_rows: int = HOT_ROWS) -> DataFrame:
+    """``surplus_by_arrival`` of several tables in one pass, as ``table_name`` and ``id``: one index, one shuffle, one window.
+
+    Each table's partitions, identifiers and keys are kept apart by its place in the list.
+    """
+    parts = []
+    for i, (df, copies, cut) in enumerate(tables.values()):
+        r = copies.rows(df)
+        own = {"ident": F.when(F.col("ident").isNotNull(), F.xxhash64(F.lit(i), F.col("ident"))), "k1": F.xxhash64(F.lit(i), F.col("k1")), "part": F.concat(F.lit(f"{i}/"), F.coalesce("part", F.lit("none")))}
+        parts.append(r.withColumns(own | {"new": F.coalesce(F.col("at") >= cut, F.lit(False)), "tab": F.lit(i)}))
+    names = F.array(*[F.lit(n) for n in tables])
+    return _surplus(reduce(DataFrame.unionByName, parts), hot_rows).select(F.get(names, F.col("tab")).alias("table_name"), "id")
 
 
 class OnceStore:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -56,12 +54,11 @@ def _latest_day(df: DataFrame, arrival: str):
 
 
 def p5_found(spark: SparkSession, d: str) -> DataFrame:
-    parts = []
+    tables = {}
     for name, copies in (("forecast", once.forecast_copies()), ("observation", once.observation_copies()), ("dlq_record", once.dead_letter_copies())):
         df = table(spark, d, name)
-        s = once.surplus_by_arrival(df, copies, _latest_day(df, copies.arrival))
-        parts.append(s.select(F.lit(name).alias("table_name"), F.col("id").cast("bigint").alias("row_id")))
-    return reduce(DataFrame.unionByName, parts)
+        tables[name] = (df, copies, _latest_day(df, copies.arrival))
+    return once.surplus_of_tables(tables).select("table_name", F.col("id").cast("bigint").alias("row_id"))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
