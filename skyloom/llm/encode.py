@@ -46,11 +46,6 @@ def boundaries(text: str) -> list[int]:
     return [m.end() for m in _pattern().finditer(text)]
 
 
-def _clean(text: str) -> str:
-    """Lone surrogates cannot be written as UTF-8; they count as the replacement character."""
-    return text if text.isascii() else text.encode("utf-8", "replace").decode("utf-8") if any("\ud800" <= c <= "\udfff" for c in text) else text
-
-
 def encode_text(text: str | None, name: str = TOKENIZER) -> list[int]:
     """The ids of one text; NULL and the empty text have none."""
     return encoding(name).encode_ordinary(text) if text else []
@@ -61,22 +56,13 @@ def decode(ids: list[int], name: str = TOKENIZER) -> str:
     return b"".join(map(encoding(name).decode_single_token_bytes, ids)).decode("utf-8", "replace")
 
 
-def stitch(left_ends: list[int], right_ends: list[int], left_len: int, text_at: str, lowest: int) -> int | None:
-    """The first position at which two overlapping chunks agree on a pre-token boundary; positions count in the left chunk.
+def _edges(batches: Iterator[pa.RecordBatch], chunk: int, overlap: int) -> Iterator[pa.RecordBatch]:
+    """Pre-tokenise chunks; of each keep the boundaries in its first and in its last overlap, as positions in the text.
 
-    A boundary counts if it lies in the overlap, is not the left chunk's own end (what follows was not seen there) and
-    follows a character that is no white space: from there on both chunks read the same pre-tokens, and the pieces on
-    either side read the same alone.
+    In the last overlap a boundary counts if it is not the chunk's own end (what follows was not seen there) and follows a
+    character that is no white space: where the next chunk has it too, both read the same pre-tokens from there on, and the
+    pieces on either side read the same alone.
     """
-    known = set(right_ends)
-    for e in left_ends:
-        if lowest < e < left_len and e in known and not text_at[e - 1].isspace():
-            return e
-    return None
-
-
-def _edges(batches: Iterator[pa.RecordBatch], chunk: int, overlap: int) -> Iterator[pa.RecordBatch]:
-    """Pre-tokenise chunks; of each keep the boundaries in its first and in its last overlap, as positions in the text."""
     for b in batches:
         heads, tails = [], []
         for n, text in zip(b.column("n").to_pylist(), b.column("text").to_pylist()):

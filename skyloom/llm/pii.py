@@ -122,8 +122,9 @@ class Flat:
         steps = {0: 0}
         for new, was in cuts:
             steps[new] = was + old_shift[bisect_right(old_at, was) - 1] - new
+        ends = [w for _, w in cuts]
         for was, sh in zip(old_at, old_shift):
-            k = bisect_right([w for _, w in cuts], was)
+            k = bisect_right(ends, was)
             new = was - (cuts[k - 1][1] - cuts[k - 1][0] if k else 0)
             steps[new] = was + sh - new
         self.at, self.shift = sorted(steps), [steps[k] for k in sorted(steps)]
@@ -161,7 +162,7 @@ def dni(d: str, letter: str) -> bool:
 # ---- items with digits -------------------------------------------------------------------------------------------------------
 _D = "[0-9OolISBbſ]"
 _PHONE = re.compile(
-    rf"(?<![\w.,/-])(?:\+[1-9lI]{_D}{{0,2}}[ .]?(?:\(0?\d{{1,4}}\)[ .]?)?(?:{_D}+[ ./-]?){{1,6}}(?<![ ./-])"  # country code
+    rf"(?<![\w.,/-])(?:\+[1-9lI]{_D}{{0,2}}[ .]?(?:\(0?\d{{1,4}}\)[ .]?)?(?:{_D}++[ ./-]?){{1,6}}(?<![ ./-])"  # country code
     rf"|\(0?{_D}{{2,5}}\)[ .-]?{_D}{{3,6}}(?:[ .-]?{_D}{{2,4}}){{0,3}}"  # area code in brackets
     rf"|[0Oo]{_D}(?:[ .]{_D}{{2}}){{4}}"  # pairs
     rf"|[0Oo]{_D}{{2,4}}[ /.-]{_D}{{3,5}}[ .-]?{_D}{{3,4}}"  # leading zero
@@ -393,6 +394,7 @@ def find_names(s: str, french: bool) -> Iterator[tuple[str, int, int]]:
             given += kinds[j] == "G"
             initials += kinds[j] in "I8"
             j += 1
+        run_end = j
         before = words[i - 1][2] if i and gaps[i - 1] in (" ", ". ") else ""
         firm = bool(before) and not titled and shape(before.rstrip(".")) in _FIRM_BEFORE
         end = None
@@ -434,7 +436,8 @@ def find_names(s: str, french: bool) -> Iterator[tuple[str, int, int]]:
                 yield "person_name", words[i][0], words[j][1]
                 i = j + 1
                 continue
-        i += 1
+        # a run of given names and initials that no surname follows is passed over at once
+        i = max(i + 1, run_end if k in "GI" and not (run_end < n and kinds[run_end] == "S") else 0)
 
 
 def find(text: str) -> list[tuple[str, int, int]]:

@@ -56,6 +56,3 @@ def test_repeated_rows_clashes_empty(spark):
     with pytest.raises(ValueError):
         encode.encode_corpus(d, chunk=4, overlap=4)
 
-
-def test_stitch_needs_a_boundary_both_know():
-    assert encode.stitch([3, 5, 9], [5, 9], 9, "abc de fgh", 2) == 5 and encode.stitch([9], [9], 9, "abc de fgh", 2) is None

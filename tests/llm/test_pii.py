@@ -77,6 +77,15 @@ def test_shapes_meet_misread_words():
         assert pii.shape(a) == pii.shape(b)
 
 
+@pytest.mark.parametrize("text", ["+1" + "2" * 3000 + "a", "A. " * 20_000, "He\u0301le\u0300ne\n" * 20_000, "x@" + "a" * 50_000, "9" * 50_000, "1 " * 50_000, "Agnes " * 20_000, "(" * 30_000, "a-\n" * 30_000, "@ " * 30_000])
+def test_long_and_odd_texts_take_linear_time(text):
+    import time
+
+    t = time.process_time()
+    pii.find(text)
+    assert time.process_time() - t < 5
+
+
 def test_rows(spark):
     long = "Words of a very long page. " * 40_000 + "Signed, Agnes R. Selkovick."
     d = spark.createDataFrame([(1, None), (2, ""), (3, " \n\t"), (4, "ring 555-0157."), (4, "ring 555-0157."), (5, long), (None, "x")], "doc_id bigint, text string")
