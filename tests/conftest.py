@@ -10,7 +10,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 def spark(tmp_path_factory):
     from skyloom.session import build_session
 
-    s = build_session("tests", cores=4, memory="3g", partitions=3)
+    # hundreds of small plans: compiling each would take most of the time
+    s = build_session("tests", cores=4, memory="3g", partitions=2, **{"spark.sql.codegen.wholeStage": "false", "spark.sql.codegen.factoryMode": "NO_CODEGEN"})
     s.sparkContext.setCheckpointDir(str(tmp_path_factory.mktemp("checkpoints")))
     yield s
     s.stop()

@@ -40,10 +40,10 @@ def test_identifier_however_written(spark):
 
 
 def test_surplus_against_brute_force(spark):
-    for seed in (1, 2, 3):
+    for seed in (1, 2):
         data = sample(seed)
         df = rows(spark, OBS, data)
-        for cut in (-1, 20, 30, 100):
+        for cut in (-1, 30):
             for hot in (once.HOT_ROWS, 5):  # 5: every identifier is hot and goes through the salts
                 s = once.surplus_by_arrival(df, once.observation_copies(), F.lit(at(cut)), hot)
                 assert [r[0] for r in tuples(s, "id")] == brute(data)
