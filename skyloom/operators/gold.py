@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
 from dataclasses import dataclass, field
 from datetime import datetime, timedelta
 
@@ -14,6 +13,7 @@ from skyloom import schemas
 from skyloom.config import Settings
 from skyloom.operators import accuracy, asof, quality, upsert
 from skyloom.session import shared_dir
+from skyloom.sources.files import Files
 from skyloom.sources.versioned import VersionedTable
 
 VERIFICATION_VALUES = ("lead_hours", "lead_day", "forecast_value", "observed_value", "observed_at", "obs_offset_seconds", "error", "ingestion_mode", "valid_date")
@@ -32,22 +32,15 @@ class BuildResult:
 class JobState:
     """Small named values beside the tables, each replaced atomically."""
 
-    def __init__(self, root: str):
-        self.root = root.removeprefix("file://")
+    def __init__(self, spark: SparkSession, root: str):
+        self.root, self.files = root, Files(spark)
 
     def get(self, job: str) -> str | None:
-        p = f"{self.root}/{job}.json"
-        if not os.path.exists(p):
-            return None
-        with open(p) as f:
-            return json.load(f)["watermark"]
+        text = self.files.read(f"{self.root}/{job}.json")
+        return json.loads(text)["watermark"] if text else None
 
     def set(self, job: str, watermark: str) -> None:
-        os.makedirs(self.root, exist_ok=True)
-        p = f"{self.root}/{job}.json"
-        with open(p + ".new", "w") as f:
-            json.dump({"watermark": watermark}, f)
-        os.replace(p + ".new", p)
+        self.files.write(f"{self.root}/{job}.json", json.dumps({"watermark": watermark}))
 
 
 def dirty_days(forecast: DataFrame, observation: DataFrame, since: str | None, tolerance_minutes: int = 30) -> DataFrame:
@@ -67,10 +60,10 @@ def dirty_days(forecast: DataFrame, observation: DataFrame, since: str | None, t
 
 class Gold:
     def __init__(self, spark: SparkSession, root: str, settings: Settings | None = None):
-        self.spark, self.root, self.settings = spark, root.removeprefix("file://"), settings or Settings()
+        self.spark, self.root, self.settings = spark, root, settings or Settings()
         self.verification = VersionedTable(spark, f"{self.root}/forecast_verification", F.col("valid_date"), schemas.VERIFICATION)
         self.accuracy = VersionedTable(spark, f"{self.root}/accuracy_daily", F.col("valid_date"), schemas.ACCURACY)
-        self.state = JobState(f"{self.root}/job_state")
+        self.state = JobState(spark, f"{self.root}/job_state")
         shared_dir(spark)
 
     def build(self, forecast: DataFrame, observation: DataFrame, location: DataFrame, now: datetime, full: bool = False) -> BuildResult:

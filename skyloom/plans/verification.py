@@ -6,6 +6,9 @@ halves fall the same way.
 
 from __future__ import annotations
 
+import uuid
+from datetime import datetime, timezone
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -473,8 +476,6 @@ def dead_letter_volume(spark, d):
 @query(f"SELECT source_topic AS topic, source_partition AS kafka_partition, coalesce(min(source_offset) FILTER (WHERE failed_at >= TIMESTAMPTZ '{AS_OF}+00'), max(source_offset) + 1) AS target FROM dlq_record GROUP BY ALL")
 def offset_targets(spark, d):
     q = table(spark, d, "dlq_record").select(F.col("source_topic").alias("topic"), F.col("source_partition").alias("kafka_partition"), F.col("source_offset").alias("kafka_offset"), F.unix_millis("failed_at").alias("kafka_timestamp_ms"))
-    from datetime import datetime, timezone
-
     return bronze.offset_targets(q, int(datetime.fromisoformat(AS_OF).replace(tzinfo=timezone.utc).timestamp() * 1000))
 
 
@@ -587,9 +588,7 @@ def numbers_in_documents(spark, d):
 
 # ---- streams ---------------------------------------------------------------------------------------------------------------
 def _folder(spark: SparkSession, name: str) -> str:
-    import uuid
-
-    return f"{shared_dir(spark).removeprefix('file:').replace('//', '/')}/{name}-{uuid.uuid4().hex[:10]}"
+    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:10]}"
 
 
 @query(f"SELECT * EXCLUDE n_revisions FROM ({_HOURLY})")

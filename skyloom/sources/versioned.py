@@ -3,8 +3,6 @@
 from __future__ import annotations
 
 import json
-import os
-import shutil
 import uuid
 from collections.abc import Iterable
 
@@ -12,6 +10,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skyloom.sources.files import Files
+
 NONE = "none"
 
 
@@ -20,19 +20,16 @@ class VersionedTable:
 
     A write puts the new partitions under new names and then replaces the manifest in one atomic rename: readers see all of a
     write or nothing of it, and a job that dies halfway leaves only unreferenced folders (``vacuum`` removes them). The file
-    system must rename atomically (local, NFS, HDFS). One writer at a time. Readers prune by partition through the
+    system must rename a file over another atomically (local, NFS, HDFS do). One writer at a time. Readers prune by partition through the
     manifest, so a read of one partition lists one folder.
     """
 
     def __init__(self, spark: SparkSession, root: str, partition: Column, schema: T.StructType | None = None):
-        self.spark, self.root, self.partition, self.schema = spark, root.removeprefix("file://"), partition, schema
+        self.spark, self.root, self.partition, self.schema, self.files = spark, root, partition, schema, Files(spark)
 
     def manifest(self) -> dict:
-        p = f"{self.root}/manifest.json"
-        if not os.path.exists(p):
-            return {"version": 0, "parts": {}}
-        with open(p) as f:
-            return json.load(f)
+        text = self.files.read(f"{self.root}/manifest.json")
+        return json.loads(text) if text else {"version": 0, "parts": {}}
 
     def partitions(self) -> list[str]:
         return sorted(self.manifest()["parts"])
@@ -55,7 +52,7 @@ class VersionedTable:
         folder = f"v{m['version'] + 1}-{uuid.uuid4().hex[:8]}"
         # one writer task per partition and slice of it: no task holds a file open for every partition
         df.withColumn("_folder", self.part()).repartition("_folder").write.partitionBy("_folder").parquet(f"{self.root}/{folder}")
-        new = {n.removeprefix("_folder="): f"{folder}/{n}" for n in os.listdir(f"{self.root}/{folder}") if n.startswith("_folder=")}
+        new = {n.removeprefix("_folder="): f"{folder}/{n}" for n in self.files.names(f"{self.root}/{folder}") if n.startswith("_folder=")}
         for p in set(partitions or ()) - set(new):
             m["parts"].pop(p, None)
         m["parts"] |= new
@@ -73,15 +70,11 @@ class VersionedTable:
     def vacuum(self) -> list[str]:
         """Remove folders that no partition refers to."""
         used = {f.split("/")[0] for f in self.manifest()["parts"].values()}
-        gone = [n for n in os.listdir(self.root) if n.startswith("v") and n not in used] if os.path.isdir(self.root) else []
+        gone = [n for n in self.files.names(self.root) if n.startswith("v") and n not in used]
         for n in gone:
-            shutil.rmtree(f"{self.root}/{n}")
+            self.files.delete(f"{self.root}/{n}")
         return gone
 
     def _commit(self, m: dict) -> None:
         m["version"] += 1
-        os.makedirs(self.root, exist_ok=True)
-        t = f"{self.root}/manifest.{uuid.uuid4().hex}"
-        with open(t, "w") as f:
-            json.dump(m, f)
-        os.replace(t, f"{self.root}/manifest.json")
+        self.files.write(f"{self.root}/manifest.json", json.dumps(m))
