@@ -23,13 +23,8 @@ def micros(c: Column | str) -> Column:
     return F.unix_micros(col(c).cast("timestamp"))
 
 
-def floor_div(a: Column, n: int) -> Column:
-    """Floor division of whole numbers; Spark's ``div`` truncates towards zero."""
-    return ((a - F.pmod(a, F.lit(n))) / F.lit(n)).cast("long")
-
-
 def int_floor_div(a: Column, n: int) -> Column:
-    """``floor_div`` without passing through a double, for microseconds beyond 2**53."""
+    """Floor division of whole numbers, also beyond 2**53: Spark's ``div`` truncates towards zero and ``/`` passes through a double."""
     x = a - F.pmod(a, F.lit(n).cast("long"))
     return F.call_function("div", x, F.lit(n).cast("long"))
 
@@ -39,10 +34,6 @@ def lead_day(lead_hours: Column | str) -> Column:
     return F.floor((col(lead_hours) + 23) / 24).cast("smallint")
 
 
-def utc_date(c: Column | str) -> Column:
-    return F.to_date(col(c).cast("timestamp"))
-
-
 def half_even_hour(c: Column | str) -> Column:
     """The nearest full hour; an exact half goes to the even hour."""
     t = micros(c)

@@ -1,7 +1,7 @@
 import random
 
 import numpy as np
-from helpers import FC, OBS, at, dims, fc, obs, rows, tuples, with_clashes
+from helpers import FC, OBS, dims, fc, obs, rows, tuples, with_clashes
 from skyloom.operators.spikes import implausible_forecasts, implausible_observations, kalman_spikes, stuck
 
 
