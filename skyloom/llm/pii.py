@@ -25,7 +25,11 @@ GIVEN_DE = "Anna Bernd Brigitte Christa Dieter Elfriede Erika Ernst Frieda Fried
 GIVEN_FR = "Alain Albert Antoine Bernadette Bernard Camille Cécile Chantal Claude Colette Denise Émile Françoise François Gaston Georges Gérard Germaine Gilbert Hélène Henri Jacqueline Jacques Jeanne Louis Luc Lucien Madeleine Marcel Marcelle Marguerite Marie Michel Monique Nathalie Nicole Noël Noëlle Odette Paulette Philippe Pierre Raymonde René Renée Roger Simone Solange Suzanne Sylvie Thérèse Yves Yvette Yvonne"
 GIVEN_ES = "Agustín Alberto Alejandro Ana Andrés Antonio Begoña Carlos Carmen Concepción Consuelo Cristóbal Diego Dolores Elena Emilio Enrique Esperanza Esteban Eugenio Fernando Francisca Francisco Gonzalo Inés Isabel Jaime Javier Jesús Joaquín Jorge José Josefa Juan Juana Julián Luis Luisa Manuel Manuela María Mercedes Miguel Montserrat Pablo Pedro Pilar Rafael Ramón Ricardo Rocío Rosa Rosario Salvador Santiago Teresa Tomás Vicente"
 TITLES = "Mr Mrs Miss Ms Dr Rev Capt Prof Sir Col Major Alderman Councillor Cllr Herr Frau Fräulein Frl Pfarrer Mme Mlle Monsieur Madame Mademoiselle Abbé Maître Sr Sra Srta Don Doña Dña Señor Señora Señorita Dra"
-NOT_SURNAMES = "The This That These Those It In On At And But For From With Work Notice Members Residents Entries Enquiries Minute Old Eggs Fat A An No His Her Hls Your Of Signed Apply Tickets Winners Anyone Mail Lost Found Wanted Sale Situation Telephone Phone Page Best Early Terms Free Good Try Box Lot Ref Case Write Cook Reward Road Street Lane Avenue Close Terrace Rd Ave St Terr Monday Tuesday Wednesday Thursday Friday Saturday Sunday January February March April May June July August September October November December Der Die Das Den Dem Des Ein Eine Im Am An Auf Bei Beim Bis Es Er Sie Und Oder Von Vom Wie Seit Man Mit Nach Zum Zur Aus Telefon Auskunft Anmeldungen Verloren Ausweis Nr Chiffre Gesucht Verkaufen Montag Dienstag Mittwoch Donnerstag Freitag Samstag Sonntag Januar Februar März Mai Juni Juli Oktober Dezember Mark Le La Les Un Une Des Du De Et Ou Au Aux En On Il Elle Par Pour Perdu Depuis Hier Prix Tél Téléphone Leçons Écrire Vendre Demande Annonce Président Vapeur Route Travaux Lundi Mardi Mercredi Jeudi Vendredi Samedi Dimanche El Los Las Una Del Al Se Su Por Para Desde Informes Falleció Extraviada Escribir Teléfono Tel Apartado Precios Busca Vende Clases Presidente Vapor Camino Obras Lunes Martes Miércoles Viernes Sábado Domingo Acudieron Steamer Star Sur Lady Residents Young Farmers Registered Journal Issn Office Value Delivery"
+#: Capitalised words that begin sentences and notices, by language; they are no surnames.
+NOT_SURNAMES_EN = "The This That These Those It In On At And But For From With Work Notice Members Residents Entries Enquiries Minute Old Eggs Fat A An No His Her Hls Your Of Signed Apply Tickets Winners Anyone Mail Lost Found Wanted Sale Situation Telephone Phone Page Best Early Terms Free Good Try Box Lot Ref Case Write Cook Reward Road Street Lane Avenue Close Terrace Rd Ave St Terr Monday Tuesday Wednesday Thursday Friday Saturday Sunday January February March April May June July August September October November December Steamer Star Sur Lady Residents Young Farmers Registered Journal Issn Office Value Delivery"
+NOT_SURNAMES_DE = "Der Die Das Den Dem Des Ein Eine Im Am An Auf Bei Beim Bis Es Er Sie Und Oder Von Vom Wie Seit Man Mit Nach Zum Zur Aus Telefon Auskunft Anmeldungen Verloren Ausweis Nr Chiffre Gesucht Verkaufen Montag Dienstag Mittwoch Donnerstag Freitag Samstag Sonntag Januar Februar März Mai Juni Juli Oktober Dezember Mark"
+NOT_SURNAMES_FR = "Le La Les Un Une Des Du De Et Ou Au Aux En On Il Elle Par Pour Perdu Depuis Hier Prix Tél Téléphone Leçons Écrire Vendre Demande Annonce Président Vapeur Route Travaux Lundi Mardi Mercredi Jeudi Vendredi Samedi Dimanche"
+NOT_SURNAMES_ES = "El Los Las Una Del Al Se Su Por Para Desde Informes Falleció Extraviada Escribir Teléfono Tel Apartado Precios Busca Vende Clases Presidente Vapor Camino Obras Lunes Martes Miércoles Viernes Sábado Domingo Acudieron"
 FIRM_BEFORE = "Messrs Gebr Gebrüder Casa Hijos Kaufhaus Maison Établ Établissements Étab Firma Hermanos Viuda Lady Star Steamer Dampfer Vapeur Vapor St Saint San Santa Sankt"
 FIRM_AFTER = "& Bros Brothers Sons Son Co Ltd Stores Cie Fils Söhne Hnos Hermanos Hijos GmbH AG Cafe Café Hotel Company"
 STREET_EN = "Street St Road Rd Avenue Ave Av Lane Ln Close Cl Terrace Terr Ter Drive Dr Court Ct Place Pl Square Sq Crescent Cres Gardens Gdns Grove Gr Row Mews Way Walk Boulevard Blvd Parade"
@@ -35,7 +39,7 @@ STREET_ES = "calle c/ avenida avda av plaza pza plza paseo pº ronda travesía c
 #: Words before a candidate that speak for a kind of item.
 NAME_CUES = "Signed bride groom Winners erteilt starb Vorsitzende Vorsitzender presidente président Informes avisar Falleció décès adresser rapporter remember"
 #: Second words of places: what they end is a place, not a person.
-PLACE_WORDS = "Green Cross Quay Bridge Harbour Bay Moor Eaton Dray Sarrow Sarro Town City Hall Church Island River Valley"
+PLACE_WORDS = "Green Cross Quay Bridge Harbour Bay Moor Town City Hall Church Island River Valley"
 ID_CUES = "number numbered card papers claim identity insurance social security passport licence clerk wallet Ausweis Ausweises Personalausweis Kennkarte Nr carte identité n° sécurité documento DNI NIF cédula identidad"
 NUMBER_NOT_PHONE = "ISSN ISBN patent Minute shelf Lot Ref Box No Case Chiffre Apartado report register registered docket invoice"
 COUNTRY_DIGITS = {"44": 10, "1": 10, "33": 9, "49": 11, "34": 9, "353": 9, "39": 10, "31": 9, "32": 9, "41": 9, "43": 11, "351": 9}
@@ -57,6 +61,7 @@ def _shapes(words: str) -> frozenset[str]:
 
 
 _GIVEN = _shapes(f"{GIVEN_EN} {GIVEN_DE} {GIVEN_FR} {GIVEN_ES}")
+NOT_SURNAMES = " ".join((NOT_SURNAMES_EN, NOT_SURNAMES_DE, NOT_SURNAMES_FR, NOT_SURNAMES_ES))
 _STOP, _PLACE = frozenset(NOT_SURNAMES.lower().split()), frozenset(PLACE_WORDS.lower().split())
 _TITLES, _NOT, _FIRM_BEFORE, _FIRM_AFTER = _shapes(TITLES), _shapes(NOT_SURNAMES), _shapes(FIRM_BEFORE), _shapes(FIRM_AFTER)
 _CUES, _ID_CUES, _NO_PHONE = _shapes(NAME_CUES), _shapes(ID_CUES), _shapes(NUMBER_NOT_PHONE)
