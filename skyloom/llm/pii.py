@@ -189,13 +189,17 @@ def _before(s: str, start: int, n: int = 48) -> list[str]:
     return [shape(w) for w in _SEEN.findall(s[max(0, start - n) : start])]
 
 
-_AREA = re.compile(rf"[+(\d](?:{_D}|[ ./()-]){{5,}}")
+_AREA = re.compile(rf"\+?(?:{_D}|[\d ./()-]){{6,}}")
+_NUMBER_LIKE = re.compile(rf"{_D}|\d")
 
 
 def _areas(s: str) -> Iterator[tuple[int, int]]:
-    """Where the text has enough digits in a row for a number of either kind; a letter or a misread digit may stand before or after."""
+    """Where the text has enough characters of numbers in a row, misread digits among them, for an item of either kind.
+
+    Every item that scores has six or more of them in one such row; two letters may stand before it, and a letter and what ends the item after.
+    """
     for m in _AREA.finditer(s):
-        if sum(c.isdigit() for c in m.group()) >= 5:
+        if len(_NUMBER_LIKE.findall(m.group())) >= 6:
             yield max(0, m.start() - 4), min(len(s), m.end() + 3)
 
 

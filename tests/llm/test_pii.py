@@ -1,3 +1,6 @@
+import random
+import re
+
 import pytest
 from helpers import with_clashes
 
@@ -50,6 +53,22 @@ def test_items(text, want):
     assert items(text) == want
 
 
+@pytest.mark.parametrize("number", ["QQl87780C", "QQO34235C", "QQS38929C", "QQB54292A", "QQB38003C", "QQO19192C", "ACl2834SC"])
+def test_identity_numbers_whose_first_digits_are_misread(number):
+    assert items(f"A wallet with a card numbered {number} was handed in") == [("id_number", number)]
+
+
+def test_areas_lose_no_number(monkeypatch):
+    rnd = random.Random(7)
+    heads = ["number ", "card QQ", "Nr. T ", "n° ", "ring ", "(", "+", "X-", "AB "]
+    texts = [rnd.choice(heads) + "".join(rnd.choice("0123456789012345678901234567890OolISBb    ..--/()+ACZ,") for _ in range(rnd.randrange(6, 22))) + rnd.choice(["", " ", "C was", "-W; ", " A, "]) for _ in range(20_000)]
+    texts += [rnd.choice(heads) + re.sub("9", lambda _: rnd.choice("0123456789OlSB"), x) + rnd.choice([".", " was", ""]) for x in ["999 99 9999", "QQ999999C", "QQ 99 99 99 A", "T 99 999 999", "2 99 99 99 999 999 99", "99999999-W", "X-9999999-L", "+44 9999 999999", "(099) 999 9999", "999-9999", "09 99 99 99 99"] for _ in range(500)]
+    got = [list(pii.find_numbers(t)) for t in texts]
+    assert sum(map(len, got)) > 2_000
+    monkeypatch.setattr(pii, "_areas", lambda s: [(0, len(s))])
+    assert got == [list(pii.find_numbers(t)) for t in texts]
+
+
 def test_positions_count_code_points_of_the_text_itself():
     for text, want in CASES:
         for lead in ("", "é́🙂 x-\r\n", "Hélène x\r\n", "ô\n\n"):
