@@ -1,6 +1,7 @@
 """Parsing, as-of join, accuracy, upserts, gate, incremental build, rules and facts on small tables with known results."""
 
-from datetime import datetime
+import random
+from datetime import datetime, timedelta
 from decimal import Decimal
 
 import pytest
@@ -298,6 +299,24 @@ def test_reconcile_and_containment(spark):
     assert got == {1: at(0), 2: at(0), 3: None, 4: at(4), 5: None, 6: None}
 
 
+def test_containment_in_nested_and_overlapping_runs(spark):
+    at_us = lambda us: at(0) + timedelta(microseconds=us)
+    rnd = random.Random(4)
+    data = [("n", 0, 10), ("n", 2, 5), ("n", 3, 4), ("n", 6, 6), ("o", 0, 5), ("o", 3, 8), ("o", 3, 6), ("o", 9, None), ("o", 12, 11), (None, 1, 4)]
+    data += [(f"r{k}", s, s + rnd.choice([0, 1, 3, 8, 30])) for k in range(4) for s in rnd.choices(range(60), k=25)]
+    keys = sorted({k for k, _, _ in data if k}) + [None]
+    pts = [(i, k, t) for i, (k, t) in enumerate((k, t) for k in keys for t in range(-1, 95))]
+    runs = spark.createDataFrame([(k, at_us(s), None if f is None else at_us(f)) for k, s, f in data], "source string, started_at timestamp, finished_at timestamp")
+    points = spark.createDataFrame([(i, k, at_us(t)) for i, k, t in pts], "id int, source string, t timestamp")
+    got = {r["id"]: (r["started_at"], r["finished_at"]) for r in ops.containing_run(points, runs, "id", "t", ["source"]).collect()}
+    want = {}
+    for i, k, t in pts:
+        best = max(((s, f) for q, s, f in data if q == k and f is not None and s <= t <= f), default=None)
+        want[i] = tuple(map(at_us, best)) if best else (None, None)
+    assert got == want
+    assert ops.containing_run(points, runs.limit(0), "id", "t", ["source"]).where("started_at is not null").count() == 0
+
+
 def test_numbers_in_text():
     n = lambda t: [str(x) for x in briefing.numbers_in(t)]
     assert n("between -3.5 and 1,234.5, .5 or a-1, 20-24") == ["-3.5", "1234.5", "0.5", "1", "20", "24"]
