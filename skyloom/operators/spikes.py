@@ -118,10 +118,41 @@ def stuck(key: np.ndarray, us: np.ndarray, v: np.ndarray) -> np.ndarray:
     return (times[run] >= STUCK_TIMES) & (v != 0)
 
 
+def stuck_readings(key: np.ndarray, us: np.ndarray, v: np.ndarray, low: np.ndarray, top: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``stuck`` on distinct readings: which of them, and the smallest and the greatest id whose rows lie in the run.
+
+    Readings are sorted by series, time, ``low`` and value; ``low`` and ``top`` are the smallest and the greatest id of their rows. A run
+    of several times enters and leaves an instant by the instant's first and last rows only: the first lie before the smallest id of the
+    second value, the last after the greatest id of any other, and a value that was there before may come last again.
+    """
+    n = len(v)
+    if not n:
+        return (np.zeros(0, np.int64),) * 3
+    start = np.flatnonzero(np.r_[True, (key[1:] != key[:-1]) | (us[1:] != us[:-1])])
+    end = np.r_[start[1:], n] - 1
+    instant = np.repeat(np.arange(len(start)), end - start + 1)
+    late = np.lexsort((v, top, instant))
+    again = np.flatnonzero(late[end] != end)
+    seq = np.r_[np.arange(n), late[end][again]][np.argsort(np.r_[np.arange(n), end[again] + 0.5], kind="stable")]
+    i = instant[seq]
+    first = np.r_[True, i[1:] != i[:-1]]
+    hit = np.flatnonzero(stuck(key[seq], us[seq], v[seq]))
+    at, i, first = seq[hit], i[hit], first[hit]
+    several = end[i] > start[i]
+    lo, hi = np.full(len(at), np.iinfo(np.int64).min), np.full(len(at), np.iinfo(np.int64).max)
+    a, b = several & first, several & ~first
+    other = start[i[a]] + 1
+    hi[a] = low[other] - (v[at[a]] > v[other])
+    other = late[end[i[b]] - 1]
+    lo[b] = top[other] + (v[at[b]] < v[other])
+    return at, lo, hi
+
+
 def _flag(t: pa.Table, with_stuck: bool) -> pa.RecordBatch:
     key, us, v, ident, own, bad, least = (t[c].to_numpy() for c in ("sk", "us", "v", "id", "own", "bad", "least"))
+    reduced = "top" in t.column_names
     hit = bad.copy()
-    if with_stuck:
+    if with_stuck and not reduced:
         hit |= stuck(key, us, v)
     good = np.flatnonzero(~bad)
     k, u, x = key[good], us[good], v[good]
@@ -137,8 +168,13 @@ def _flag(t: pa.Table, with_stuck: bool) -> pa.RecordBatch:
     mask = np.zeros(len(k), bool)
     mask[single] = kalman_spikes(k[single], u[single], x[single], least[good][single].astype(float))
     hit[good] |= mask[reading]
-    if "copies" in t.column_names:  # reduced readings: the rows behind them are found by what they share
-        return pa.record_batch({"sk": key[hit], "us": us[hit], "v": v[hit]})
+    if reduced:  # the rows behind the readings are found by what they share and, in a stuck run, by their ids
+        at = np.flatnonzero(hit)
+        lo, hi = np.full(len(at), np.iinfo(np.int64).min), np.full(len(at), np.iinfo(np.int64).max)
+        if with_stuck:
+            more = stuck_readings(key, us, v, ident, t["top"].to_numpy())
+            at, lo, hi = (np.r_[x, y[~hit[more[0]]]] for x, y in zip((at, lo, hi), more))
+        return pa.record_batch({"sk": key[at], "us": us[at], "v": v[at], "lo": lo, "hi": hi})
     return pa.record_batch({"id": ident[hit & own]})
 
 
@@ -159,19 +195,21 @@ def _flagged(rows: DataFrame, with_stuck: bool, hot_rows: int) -> DataFrame:
     """Ids of flagged rows. A series lies in one task, in order of time and id; what one holds is bounded by its block or message.
 
     Where copies make a series longer than ``hot_rows``, its rows are first reduced map-side to distinct readings (time and value,
-    the smallest id standing for the place in the order), these are judged, and the rows are found again by reading.
+    the smallest id standing for the place in the order, the greatest for where it comes last), these are judged, and the rows are
+    found again by reading and range of ids, so that both ways flag the same rows.
     """
     cols = rows.select("sk", "us", "v", "id", "own", "bad", "least")
     hot = cols.groupBy("sk").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > hot_rows).select("sk", F.lit(True).alias("hot"))
     marked = cols.join(F.broadcast(hot), "sk", "left")
     run = partial(_run, with_stuck=with_stuck)
     plain = marked.where(F.col("hot").isNull()).drop("hot")
-    few = plain.repartition("sk").sortWithinPartitions("sk", "us", "id").mapInArrow(run, "id bigint")
+    few = plain.repartition("sk").sortWithinPartitions("sk", "us", "id", "v").mapInArrow(run, "id bigint")
     many = marked.where("hot").drop("hot")
-    readings = many.groupBy("sk", "us", "v").agg(F.min("id").alias("id"), F.max("own").alias("own"), F.max("bad").alias("bad"), F.max("least").alias("least"), F.count(F.lit(1)).alias("copies"))
-    found = readings.repartition("sk").sortWithinPartitions("sk", "us", "id").mapInArrow(run, "sk bigint, us bigint, v double")
-    # found is unique by reading; a semi join would be pushed below the filter on hot series and move every row
-    return few.unionByName(many.where("own").select("sk", "us", "v", "id").join(found, ["sk", "us", "v"]).select("id"))
+    readings = many.groupBy("sk", "us", "v").agg(F.min("id").alias("id"), F.max("own").alias("own"), F.max("bad").alias("bad"), F.max("least").alias("least"), F.max("id").alias("top"))
+    found = readings.repartition("sk").sortWithinPartitions("sk", "us", "id", "v").mapInArrow(run, "sk bigint, us bigint, v double, lo bigint, hi bigint")
+    # the ranges of a reading do not meet; a semi join would be pushed below the filter on hot series and move every row
+    again = many.where("own").select("sk", "us", "v", "id").join(found, ["sk", "us", "v"]).where("id between lo and hi")
+    return few.unionByName(again.select("id"))
 
 
 def implausible_observations(observation: DataFrame, variable: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:

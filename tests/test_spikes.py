@@ -71,6 +71,30 @@ def test_stuck_runs(spark):
     assert found(spark, calm_wind) == []
 
 
+def test_copies_around_a_correction_count_alike_in_hot_series(spark):
+    v = calm(30)
+    v[11:16] = [281.3] * 5
+    v[10] = 281.3
+    data = series(v) + [obs(100, 10, 281.8, corrected=True), obs(101, 10, 281.3, seen=40)]
+    assert found(spark, data) == found_hot(spark, data) == [11, 12, 13, 14, 15, 101]  # 10 stands before the correction
+    data += [obs(102, 10, 281.9, corrected=True)]
+    assert found(spark, data) == found_hot(spark, data) == []
+
+
+def test_hot_series_flag_the_same_rows(spark):
+    rnd = random.Random(11)
+    data = []
+    for station in range(60):
+        ids = rnd.sample(range(1000), 130)
+        x = 281.3
+        for i, k in enumerate(ids):
+            x = rnd.choice([x, x, x, x, x, 281.3, 281.8]) + 30 * (rnd.random() < 0.02)
+            data.append(obs(station * 1000 + k, rnd.choice([i // 3, i // 3, i // 3 + 1]), x if x < 290 else x - 30 * (rnd.random() < 0.9), station=f"S{station}"))
+    data += [dict(r, value=r["value"] + 0.5) for r in rnd.sample(data, 100)]  # one id, two values
+    plain = found(spark, data)
+    assert len(plain) > 1000 and found_hot(spark, data) == plain
+
+
 def test_runs_and_spikes_across_blocks(spark):
     hours = 24 * 75
     v = calm(hours, 3)
