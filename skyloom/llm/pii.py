@@ -10,7 +10,7 @@ from __future__ import annotations
 import re
 import unicodedata
 from bisect import bisect_right
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -30,6 +30,8 @@ NOT_SURNAMES_EN = "The This That These Those It In On At And But For From With W
 NOT_SURNAMES_DE = "Der Die Das Den Dem Des Ein Eine Im Am An Auf Bei Beim Bis Es Er Sie Und Oder Von Vom Wie Seit Man Mit Nach Zum Zur Aus Telefon Auskunft Anmeldungen Verloren Ausweis Nr Chiffre Gesucht Verkaufen Montag Dienstag Mittwoch Donnerstag Freitag Samstag Sonntag Januar Februar März Mai Juni Juli Oktober Dezember Mark"
 NOT_SURNAMES_FR = "Le La Les Un Une Des Du De Et Ou Au Aux En On Il Elle Par Pour Perdu Depuis Hier Prix Tél Téléphone Leçons Écrire Vendre Demande Annonce Président Vapeur Route Travaux Lundi Mardi Mercredi Jeudi Vendredi Samedi Dimanche"
 NOT_SURNAMES_ES = "El Los Las Una Del Al Se Su Por Para Desde Informes Falleció Extraviada Escribir Teléfono Tel Apartado Precios Busca Vende Clases Presidente Vapor Camino Obras Lunes Martes Miércoles Viernes Sábado Domingo Acudieron"
+#: Those of them that are surnames too, where a form of address, a given name or initials stand before them on the line.
+COMMON_SURNAMES = "Young Cook Page Lane Best Close March May August Case Good Mark Free Early Reward Street Old Box Lot Work Friday Mai Freitag Sonntag Montag Domingo Camino"
 FIRM_BEFORE = "Messrs Gebr Gebrüder Casa Hijos Kaufhaus Maison Établ Établissements Étab Firma Hermanos Viuda Lady Star Steamer Dampfer Vapeur Vapor St Saint San Santa Sankt"
 FIRM_AFTER = "& Bros Brothers Sons Son Co Ltd Stores Cie Fils Söhne Hnos Hermanos Hijos GmbH AG Cafe Café Hotel Company"
 STREET_EN = "Street St Road Rd Avenue Ave Av Lane Ln Close Cl Terrace Terr Ter Drive Dr Court Ct Place Pl Square Sq Crescent Cres Gardens Gdns Grove Gr Row Mews Way Walk Boulevard Blvd Parade"
@@ -62,7 +64,7 @@ def _shapes(words: str) -> frozenset[str]:
 
 _GIVEN = _shapes(f"{GIVEN_EN} {GIVEN_DE} {GIVEN_FR} {GIVEN_ES}")
 NOT_SURNAMES = " ".join((NOT_SURNAMES_EN, NOT_SURNAMES_DE, NOT_SURNAMES_FR, NOT_SURNAMES_ES))
-_STOP, _PLACE = frozenset(NOT_SURNAMES.lower().split()), frozenset(PLACE_WORDS.lower().split())
+_STOP, _COMMON, _PLACE = frozenset(NOT_SURNAMES.lower().split()), frozenset(COMMON_SURNAMES.lower().split()), frozenset(PLACE_WORDS.lower().split())
 _TITLES, _NOT, _FIRM_BEFORE, _FIRM_AFTER = _shapes(TITLES), _shapes(NOT_SURNAMES), _shapes(FIRM_BEFORE), _shapes(FIRM_AFTER)
 _CUES, _ID_CUES, _NO_PHONE = _shapes(NAME_CUES), _shapes(ID_CUES), _shapes(NUMBER_NOT_PHONE)
 _STREET_EN, _STREET_SHORT = _shapes(" ".join(w for w in STREET_EN.split() if len(w) > 3)), frozenset(w for w in STREET_EN.split() if len(w) <= 3)
@@ -340,6 +342,7 @@ def find_addresses(s: str) -> Iterator[tuple[str, int, int]]:
 _WORD = re.compile(r"(?<!\w)(?:[A-ZÀ-ÖØ-Þ](?:\.(?!\w)|[\wſ’']*(?:-[A-ZÀ-Þ][\wſ’']+)*)|[805](?:\.(?!\w)|[a-z][\wſ’']+))")
 
 
+_PARTICLE = re.compile(r" (?:(?:von|van|de)(?: der| den| dem| la| las| los)?|zu|vom|zum|zur|du|des|del|della|di|da|dos|ten|ter) | d['’]")
 _KNOWN: dict[str, str] = {}
 
 
@@ -354,11 +357,14 @@ def _kind(w: str) -> str:
 
 
 def _judge(w: str) -> str:
-    """I(nitial), 8 (a digit that may be one), T(itle), G(iven name), U(nlikely as a surname), S(urname perhaps), - (no part of a name)."""
+    """I(nitial), 8 (a digit that may be one), T(itle), G(iven name), U(nlikely as a surname), C(ommon word and surname), S(urname perhaps),
+    2 (a short one perhaps), - (no part of a name)."""
     if len(w) == 2 and w[1] == ".":
         return "I" if w[0].isalpha() else "8"
     if len(w) == 1:
         return "-"
+    if w.lower() in _COMMON:
+        return "C"
     if w.lower() in _STOP:
         return "U"
     sh = shape(w)
@@ -368,12 +374,15 @@ def _judge(w: str) -> str:
         return "F"
     if sh in _GIVEN:
         return "G"
+    if len(w) == 2 and w[1].islower():  # by shape "Li" would be "Il"
+        return "2"
     if sh in _NOT:
         return "U"
     return "S" if len(w) > 2 else "-"
 
 
-def find_names(s: str, french: bool) -> Iterator[tuple[str, int, int]]:
+def find_names(s: str, french: bool, broken: Callable[[int, int], bool] = lambda a, b: False) -> Iterator[tuple[str, int, int]]:
+    """``broken`` tells whether the text has a line break between two positions: there a notice may begin with a common word."""
     words = [(m.start(), m.end(), m.group()) for m in _WORD.finditer(s)]
     kinds = [_kind(w) for _, _, w in words]
     n = len(words)
@@ -407,7 +416,14 @@ def find_names(s: str, french: bool) -> Iterator[tuple[str, int, int]]:
         before = words[i - 1][2] if i and gaps[i - 1] in (" ", ". ") else ""
         firm = bool(before) and not titled and shape(before.rstrip(".")) in _FIRM_BEFORE
         end = None
-        if j < n and kinds[j] == "S" and (j == first or joined(j - 1)):
+        # a short or common word is a surname after a form of address, a given name or initials; a street may bear a given name
+        sure = j < n and (kinds[j] == "S" or kinds[j] in "2C" and (titled or j > first))
+        if sure and kinds[j] in "2C":
+            sure = not broken(words[j - 1][1], words[j][0])
+        if sure and kinds[j] == "C":
+            street = shape(words[j][2]) in _STREET_EN or words[j][2] in _STREET_SHORT
+            sure = not (street and given and not titled)
+        if sure and (j == first or joined(j - 1) or kinds[j - 1] == "G" and _PARTICLE.fullmatch(gaps[j - 1])):
             after = s[words[j][1] : words[j][1] + 12].split()
             if after and shape(after[0].strip(".,;")) in _FIRM_AFTER or s.startswith((" et Fils", " und ", " y C", " e Hijos"), words[j][1]):
                 firm = True
@@ -463,7 +479,7 @@ def find(text: str) -> list[tuple[str, int, int]]:
             out.append((kind, a, b))
             last = b
     starts = [a for a, _ in taken]
-    for kind, a, b in find_names(s, french):
+    for kind, a, b in find_names(s, french, lambda a, b: "\n" in text[slice(*flat.back(a, b))]):
         p = bisect_right(starts, b - 1) - 1
         if p < 0 or taken[p][1] <= a:
             out.append((kind, a, b))

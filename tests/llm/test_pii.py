@@ -43,6 +43,9 @@ CASES = [
     ("call on Rev. P. Selkiddow. Mr. and Mrs. Holm of", [("person_name", "P. Selkiddow"), ("person_name", "Holm")]),
     ("Frau Calding aus Ort; Karl Holvenbruck-Fennenbruck begrüßte", [("person_name", "Calding"), ("person_name", "Karl Holvenbruck-Fennenbruck")]),
     ("le M. Dunneval, de la ville, et le M. W. Lambagnol, de Port, et la", [("person_name", "Dunneval"), ("person_name", "W. Lambagnol")]),
+    ("he saw Mr Young and Mary Cook, then J. Page and Mrs. A. Best at noon", [("person_name", "Young"), ("person_name", "Mary Cook"), ("person_name", "J. Page"), ("person_name", "A. Best")]),
+    ("the late Mei Li and Hans von Berg met Anna van der Velde, Pierre de la Tour and Jeanne d'Arlon", [("person_name", x) for x in ("Mei Li", "Hans von Berg", "Anna van der Velde", "Pierre de la Tour", "Jeanne d'Arlon")]),
+    ("or call on Mr.\nFREE delivery. The corner of Rose Lane. Mrs. The water; Mary In", []),
     ("Messrs. Tarniddow and Quillamere & Sons; Casa Kestuelles; Hijos de Marlirazo; Gebr. Selkhauser", []),
     ("The steamer Lady Margaret left Lowen Quay", []),
 ]
