@@ -598,11 +598,13 @@ def stream_late_events(spark, d):
     from skyloom.streaming import late_stream
 
     t = table(spark, d, "observation")
-    source = spark.readStream.schema(t.schema).option("pathGlobFilter", "observation.parquet").parquet(d)
+    # a glob, so that the table may be one file or a folder of files
+    source = spark.readStream.schema(t.schema).parquet(f"{d}/observation.{{parquet}}")
     root = _folder(spark, "late")
     accepted = VersionedTable(spark, f"{root}/accepted", F.to_date("observed_at"))
     dropped = VersionedTable(spark, f"{root}/dropped", F.to_date("observed_at"))
-    q = late_stream.start(source, accepted, dropped, f"{root}/checkpoint")
+    hours = VersionedTable(spark, f"{root}/hours", F.to_date("hour"), late_stream.HOURS)
+    q = late_stream.start(source, accepted, dropped, f"{root}/checkpoint", hours=hours)
     q.awaitTermination()
-    h = late_stream.hourly(accepted.read())
+    h = hours.read()
     return h.select("station", "variable", F.date_format("hour", "yyyy-MM-dd HH").alias("hour"), "n_reports", "n_values", "min_value", "max_value", F.round("mean_value", 6).alias("mean_value"))

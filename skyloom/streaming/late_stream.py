@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
+from skyloom import schemas
 from skyloom.functions.columns import micros
 from skyloom.operators.late_events import ALLOWED_LATENESS_US
 from skyloom.sources.versioned import VersionedTable
 
 _OUT = "station string, observation_id bigint, variable string, ev bigint, ar bigint, value double, is_corrected boolean, too_late boolean"
+HOURS = schemas.flat("station string, variable string, hour timestamp, n_reports bigint, n_values bigint, min_value double, max_value double, mean_value double")
 
 
 def _judge(lateness_us: int):
@@ -48,8 +50,12 @@ def judged(stream: DataFrame, lateness_us: int = ALLOWED_LATENESS_US) -> DataFra
     return flat.groupBy("station").applyInPandasWithState(_judge(lateness_us), _OUT, "mark bigint", "append", GroupStateTimeout.NoTimeout)
 
 
-def start(stream: DataFrame, accepted: VersionedTable, dropped: VersionedTable, checkpoint: str, drain: bool = True) -> StreamingQuery:
-    """Keep the last accepted row of every report (a correction wins) in ``accepted`` and late rows in ``dropped``, upserted batch by batch."""
+def start(stream: DataFrame, accepted: VersionedTable, dropped: VersionedTable, checkpoint: str, drain: bool = True, hours: VersionedTable | None = None) -> StreamingQuery:
+    """Keep the last accepted row of every report (a correction wins) in ``accepted`` and late rows in ``dropped``, upserted batch by batch.
+
+    The figures of the hours that a batch touches are upserted in ``hours`` (see ``HOURS``), after the reports they come from, so a
+    batch that is run again repairs them. A partition of ``accepted`` must hold whole hours.
+    """
     from skyloom.operators.upsert import insert_absent, keep_last
 
     def handle(batch: DataFrame, _: int) -> None:
@@ -63,11 +69,25 @@ def start(stream: DataFrame, accepted: VersionedTable, dropped: VersionedTable,
         both = new if stored is None else stored.unionByName(new)
         best = keep_last(both.dropDuplicates(["observation_id"]), ("station", "variable", "ev"), ["is_corrected", "ar", "observation_id"]).checkpoint()
         accepted.replace(best, parts)
+        if hours is not None:
+            _upsert_hours(hours, best, new)
 
     w = judged(stream).writeStream.outputMode("append").foreachBatch(handle).option("checkpointLocation", checkpoint)
     return (w.trigger(availableNow=True) if drain else w.trigger(processingTime="5 seconds")).start()
 
 
+def _upsert_hours(hours: VersionedTable, best: DataFrame, new: DataFrame) -> None:
+    """Replace the figures of the hours that ``new`` touches by those of the reports in ``best``; the other hours stay as they are."""
+    hour = F.date_trunc("hour", F.timestamp_micros("ev"))
+    touched = new.select(F.col("station").alias("_s"), F.col("variable").alias("_v"), hour.alias("_h")).distinct().checkpoint()
+    same = F.col("station").eqNullSafe(F.col("_s")) & F.col("variable").eqNullSafe(F.col("_v")) & F.col("hour").eqNullSafe(F.col("_h"))
+    fresh = hourly(best.withColumn("hour", hour).join(touched, same, "left_semi").drop("hour")).checkpoint()
+    parts = [r[0] for r in fresh.select(hours.part()).distinct().collect()]
+    stored = hours.read(parts)
+    kept = fresh if stored is None else stored.join(touched, same, "left_anti").unionByName(fresh)
+    hours.replace(kept, parts)
+
+
 def hourly(accepted: DataFrame) -> DataFrame:
     """The hourly figures as the accepted rows stand now."""
     v = F.when(~F.isnan("value"), F.col("value"))

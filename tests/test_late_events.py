@@ -75,3 +75,29 @@ def test_stream_equals_batch(spark, tmp_path):
     assert [r[0] for r in tuples(no.read(), "observation_id")] == brute_late(data)
     cols = ["station", "variable", "hour", "n_reports", "n_values", "mean_value"]
     assert tuples(late_stream.hourly(ok.read()), *cols) == tuples(le.hourly_revised(rows(spark, OBS, data)), *cols)
+
+
+def test_stream_upserts_the_hours_it_touches(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    from skyloom.sources.versioned import VersionedTable
+    from skyloom.streaming import late_stream
+
+    data = sorted([r for r in sample(6, 120) if r["inserted_at"]], key=lambda r: r["inserted_at"]) + [obs(900, 119.5, 1.0, station="C", variable=None, seen=400)]
+    data += [obs(901, 119.5, 4.0, station="C", variable=None, seen=401, corrected=True), obs(902, 119.6, 2.0, station="C", variable=None, seen=402), obs(903, 117.5, 2.0, station="C", seen=403)]
+    cut = len(data) - 3
+    ok = VersionedTable(spark, f"{tmp_path}/ok", F.to_date("observed_at"))
+    no = VersionedTable(spark, f"{tmp_path}/no", F.to_date("observed_at"))
+    hours = VersionedTable(spark, f"{tmp_path}/hours", F.to_date("hour"), late_stream.HOURS)
+    assert hours.read().count() == 0
+    before = {}
+    cols = ["station", "variable", "hour", "n_reports", "n_values", "min_value", "max_value", "mean_value"]
+    key = lambda r: str(r)
+    for i, (part, so_far) in enumerate(((data[:cut], data[:cut]), (data[cut:], data))):
+        rows(spark, OBS, part).coalesce(1).write.parquet(f"{tmp_path}/in/{i}")
+        src = spark.readStream.schema(rows(spark, OBS, []).schema).option("recursiveFileLookup", "true").parquet(f"{tmp_path}/in")
+        late_stream.start(src, ok, no, f"{tmp_path}/cp", hours=hours).awaitTermination()
+        got, want = (sorted(map(tuple, x.select(*cols).collect()), key=key) for x in (hours.read(), le.hourly_revised(rows(spark, OBS, so_far))))
+        assert got == want
+        before, last = hours.manifest()["parts"], before
+    assert {p for p in before if before[p] != last.get(p)} == {"2025-02-05"}  # the other days were not written again
