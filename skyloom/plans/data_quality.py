@@ -130,20 +130,29 @@ sums AS (
   FROM weighed GROUP BY ALL)
 """
 
-_SPIKES = """SELECT '{table}' AS table_name, id AS row_id FROM (
-  WITH r AS (SELECT {id} AS id, hash({series}) AS k, epoch_us({time}) AS t, value AS v, value < hard_min OR value > hard_max AS bad,
-      CASE variable WHEN 'pressure_msl' THEN 30.0 ELSE 0.5 END AS least FROM {table} JOIN dim_variable USING (variable) WHERE value IS NOT NULL AND NOT isnan(value)),
+_WIDER = "sqrt(1 + 0.4 * (least(greatest(coalesce({0}, 1), 1), 8) - 1))"  # hours without a reading widen the usual change
+_SPIKES = f"""SELECT '{{table}}' AS table_name, id AS row_id FROM (
+  WITH RECURSIVE r AS (SELECT {{id}} AS id, hash({{series}}) AS k, epoch_us({{time}}) AS t, value AS v, value < hard_min OR value > hard_max AS bad,
+      CASE variable WHEN 'pressure_msl' THEN 30.0 ELSE 0.5 END AS least FROM {{table}} JOIN dim_variable USING (variable) WHERE value IS NOT NULL AND NOT isnan(value)),
   runs AS (SELECT *, sum(new) OVER (PARTITION BY k ORDER BY t, id) AS run FROM (SELECT *, CASE WHEN v = lag(v) OVER (PARTITION BY k ORDER BY t, id) THEN 0 ELSE 1 END AS new FROM r)),
   stuck AS (SELECT k, run, v, count(DISTINCT t) AS times FROM runs GROUP BY ALL),
   one AS (SELECT k, t, v, min(id) AS id, min(least) AS least FROM r WHERE NOT bad GROUP BY ALL),
-  n AS (SELECT *, lag(v) OVER w AS p, lead(v) OVER w AS a, lead(v, 2) OVER w AS b FROM one WINDOW w AS (PARTITION BY k ORDER BY t, id)),
-  s AS (SELECT *, greatest(least, median(abs(v - p)) OVER (PARTITION BY k)) * 8 AS lim FROM n),
-  d AS (SELECT *, least(abs(v - p), abs(v - a)) AS d1, least(abs(v - p), abs(a - b), abs(a - p), abs(v - b)) AS d2 FROM s),
-  f AS (SELECT *, (v - p) * (v - a) > 0 AND d1 >= lim AND abs(a - p) <= 0.5 * d1 AS single,
-      (v - p) * (a - b) > 0 AND (v - p) * (v - b) > 0 AND (v - p) * (a - p) > 0 AND d2 >= lim AND abs(b - p) <= 0.5 * d2 AS pair FROM d),
-  spike AS (SELECT k, t, v FROM (SELECT *, coalesce(single, FALSE) OR coalesce(pair, FALSE) OR coalesce(lag(pair) OVER (PARTITION BY k ORDER BY t, id), FALSE) AS hit FROM f) WHERE hit)
+  n AS (SELECT *, lag(v) OVER w AS p, lead(v) OVER w AS a, lead(v, 2) OVER w AS b, (t - lag(t) OVER w) / 3.6e9 AS hp, (lead(t) OVER w - t) / 3.6e9 AS ha, (lead(t, 2) OVER w - lead(t) OVER w) / 3.6e9 AS hb
+    FROM one WINDOW w AS (PARTITION BY k ORDER BY t, id)),
+  s AS (SELECT *, greatest(least, median(round(abs(v - p) * 100 / least)) OVER (PARTITION BY k) * least / 100) * 8 AS lim FROM n),
+  d AS (SELECT *, least(abs(v - p), abs(v - a)) AS d1, least(abs(v - p), abs(a - b), abs(a - p), abs(v - b)) AS d2, lim * {_WIDER.format("greatest(hp, ha)")} AS lim1, lim * {_WIDER.format("greatest(hp, ha, hb)")} AS lim2 FROM s),
+  c AS (SELECT *, CASE WHEN (v - p) * (v - a) > 0 AND d1 >= lim1 AND abs(a - p) <= 0.5 * d1 THEN 1
+      WHEN (v - p) * (a - b) > 0 AND (v - p) * (v - b) > 0 AND (v - p) * (a - p) > 0 AND d2 >= lim2 AND abs(b - p) <= 0.5 * d2 THEN 2 ELSE 0 END AS len,
+      row_number() OVER (PARTITION BY k ORDER BY t, id) AS n FROM d),
+  -- of overlapping candidates the earlier one holds: after a spike the level is where it was, and the next reading belongs to it
+  e AS (SELECT *, max(CASE WHEN len > 0 THEN n + len ELSE 0 END) OVER (PARTITION BY k ORDER BY n ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS reach FROM c),
+  g AS (SELECT *, sum(CASE WHEN len > 0 AND n > coalesce(reach, 0) THEN 1 ELSE 0 END) OVER (PARTITION BY k ORDER BY n) AS cluster FROM e),
+  q AS (SELECT k, cluster, n, len, row_number() OVER (PARTITION BY k, cluster ORDER BY n) AS j FROM g WHERE len > 0),
+  walk AS (SELECT k, cluster, j, n, len, TRUE AS hit, n + len AS upto FROM q WHERE j = 1
+    UNION ALL SELECT q.k, q.cluster, q.j, q.n, q.len, q.n > w.upto, CASE WHEN q.n > w.upto THEN q.n + q.len ELSE w.upto END FROM walk w JOIN q ON q.k = w.k AND q.cluster = w.cluster AND q.j = w.j + 1),
+  spike AS (SELECT c.k, c.t, c.v FROM c JOIN walk w ON c.k = w.k AND w.hit AND (c.n = w.n OR (w.len = 2 AND c.n = w.n + 1)))
   SELECT id FROM r WHERE bad OR EXISTS (SELECT 1 FROM spike x WHERE x.k = r.k AND x.t = r.t AND x.v = r.v)
-  UNION SELECT id FROM runs JOIN stuck USING (k, run, v) WHERE {stuck})"""
+  UNION SELECT id FROM runs JOIN stuck USING (k, run, v) WHERE {{stuck}})"""
 _WIND = "(?:^| )(?:[0-9]{3}|VRB)([0-9]{2,3})(?:G[0-9]{2,3})?(KT|MPS|KMH)\\b"
 _NUMBERS = "len(list_filter(hourly.{0}, lambda x: x IS NOT NULL AND NOT isnan(x)))"
 

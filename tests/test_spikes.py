@@ -2,7 +2,8 @@ import random
 
 import numpy as np
 from helpers import FC, OBS, dims, fc, obs, rows, tuples, with_clashes
-from skyloom.operators.spikes import implausible_forecasts, implausible_observations, kalman_spikes, stuck
+from skyloom.functions.columns import DAY_US
+from skyloom.operators.spikes import MEMORY, STUCK_TIMES, Runs, implausible_forecasts, implausible_observations, kalman_spikes, usual_changes
 
 
 def series(values, start=0, step=1.0, i0=0, **k):
@@ -13,8 +14,26 @@ def found(spark, data):
     return [r[0] for r in tuples(implausible_observations(rows(spark, OBS, data), dims(spark)), "id")]
 
 
-def found_hot(spark, data):
-    return [r[0] for r in tuples(implausible_observations(rows(spark, OBS, data), dims(spark), hot_rows=3), "id")]
+def found_in(spark, data, days):
+    return [r[0] for r in tuples(implausible_observations(rows(spark, OBS, data), dims(spark), block_us=int(days * DAY_US)), "id")]
+
+
+def brute(data):
+    """Stuck rows of one-valued variables, row by row."""
+    out, series = [], {}
+    for r in data:
+        series.setdefault((r["station"], r["variable"]), []).append(r)
+    for s in series.values():
+        s.sort(key=lambda r: (r["observed_at"], r["observation_id"], r["value"]))
+        i = 0
+        while i < len(s):
+            j = i
+            while j < len(s) and s[j]["value"] == s[i]["value"]:
+                j += 1
+            if s[i]["value"] != 0 and len({r["observed_at"] for r in s[i:j]}) >= STUCK_TIMES:
+                out += [r["observation_id"] for r in s[i:j]]
+            i = j
+    return sorted(out)
 
 
 def calm(n, seed=1, base=280.0):
@@ -56,7 +75,28 @@ def test_every_copy_of_a_spike_counts_and_corrections_stay(spark):
     v = calm(40)
     v[20] += 15
     data = series(v) + [obs(100, 20, v[20], seen=30), obs(101, 20, v[20] - 15, corrected=True)]
-    assert found(spark, data) == [20, 100] and found_hot(spark, data) == [20, 100]
+    assert found(spark, data) == found_in(spark, data, 0.5) == [20, 100]
+
+
+def test_readings_between_two_spikes_are_none(spark):
+    v = calm(60)
+    for i in (20, 22, 40, 41, 43):
+        v[i] += 15
+    data = series(v)
+    assert found(spark, data) == found_in(spark, data, 0.25) == [20, 22, 40, 41, 43]
+
+
+def test_a_spike_on_a_level_that_has_just_changed(spark):
+    v = calm(60)
+    v = v[:30] + [x + 20 for x in v[30:]]
+    v[32] += 18
+    assert found(spark, series(v)) == [32]
+
+
+def test_change_over_a_gap_is_no_spike(spark):
+    v = calm(60)
+    late = [obs(i, i + (10 if i > 30 else 0) + (10 if i > 31 else 0), x + (6 if i == 31 else 0)) for i, x in enumerate(v)]
+    assert found(spark, late) == []
 
 
 def test_stuck_runs(spark):
@@ -71,17 +111,17 @@ def test_stuck_runs(spark):
     assert found(spark, calm_wind) == []
 
 
-def test_copies_around_a_correction_count_alike_in_hot_series(spark):
+def test_copies_around_a_correction(spark):
     v = calm(30)
     v[11:16] = [281.3] * 5
     v[10] = 281.3
     data = series(v) + [obs(100, 10, 281.8, corrected=True), obs(101, 10, 281.3, seen=40)]
-    assert found(spark, data) == found_hot(spark, data) == [11, 12, 13, 14, 15, 101]  # 10 stands before the correction
+    assert found(spark, data) == found_in(spark, data, 0.1) == [11, 12, 13, 14, 15, 101]  # 10 stands before the correction
     data += [obs(102, 10, 281.9, corrected=True)]
-    assert found(spark, data) == found_hot(spark, data) == []
+    assert found(spark, data) == found_in(spark, data, 0.1) == []
 
 
-def test_hot_series_flag_the_same_rows(spark):
+def test_blocks_of_any_length_flag_the_same_rows(spark):
     rnd = random.Random(11)
     data = []
     for station in range(60):
@@ -92,20 +132,36 @@ def test_hot_series_flag_the_same_rows(spark):
             data.append(obs(station * 1000 + k, rnd.choice([i // 3, i // 3, i // 3 + 1]), x if x < 290 else x - 30 * (rnd.random() < 0.9), station=f"S{station}"))
     data += [dict(r, value=r["value"] + 0.5) for r in rnd.sample(data, 100)]  # one id, two values
     plain = found(spark, data)
-    assert len(plain) > 1000 and found_hot(spark, data) == plain
+    assert len(plain) > 1000 and set(brute(data)) <= set(plain)
+    for days in (0.1, 0.3, 1):
+        assert found_in(spark, data, days) == plain
 
 
 def test_runs_and_spikes_across_blocks(spark):
-    hours = 24 * 75
-    v = calm(hours, 3)
-    v[24 * 25 - 3 : 24 * 25 + 3] = [280.1] * 6
-    want = set(range(24 * 25 - 3, 24 * 25 + 3))
-    for t in (24 * 10, 24 * 54, 24 * 55 - 1):
-        v[t] += 20
-        want.add(t)
-    rnd = set(found(spark, series(v)))
-    assert want <= rnd and len(rnd - want) == 0
-    assert set(found_hot(spark, series(v) + series(v, i0=100_000))) == want | {100_000 + i for i in want}
+    for days in (1, 5, 25):
+        hours = 24 * 75
+        v = calm(hours, 3)
+        v[24 * 25 - 3 : 24 * 25 + 3] = [280.1] * 6
+        v[24 * 40 : 24 * 53] = [279.9] * 24 * 13
+        want = set(range(24 * 25 - 3, 24 * 25 + 3)) | set(range(24 * 40, 24 * 53))
+        for t in (24 * 10, 24 * 54, 24 * 55 - 1, 24 * 60, 24 * 60 - 1):
+            v[t] += 20
+            want.add(t)
+        assert set(found_in(spark, series(v), days)) == want
+        assert set(found_in(spark, series(v) + series(v, i0=100_000), days)) == want | {100_000 + i for i in want}
+
+
+def test_sparse_runs_and_spikes(spark):
+    v = calm(40)
+    v[11:17] = [281.3] * 6
+    v[30] += 40
+    assert found_in(spark, series(v, step=48.0), 10) == found_in(spark, series(v, step=48.0), 1) == [*range(11, 17), 30]
+
+
+def test_unchanging_and_wild_series(spark):
+    data = [obs(i, i, 280.5) for i in range(200)] + [obs(1000 + i, i, 280.0 + 30 * (i % 2), station="B") for i in range(200)]
+    assert found(spark, data) == found_in(spark, data, 1)
+    assert set(range(200)) <= set(found(spark, data))
 
 
 def test_forecast_series_are_messages(spark):
@@ -118,6 +174,7 @@ def test_forecast_series_are_messages(spark):
     f = rows(spark, FC, live + other + back + ids)
     assert tuples(implausible_forecasts(f, dims(spark)), "id") == [(7,), (407,)]
     assert tuples(implausible_forecasts(with_clashes(f), dims(spark)), "id") == [(7,), (407,)]
+    assert tuples(implausible_forecasts(f, dims(spark), hot_rows=3), "id") == [(7,), (407,)]
 
 
 def test_empty_unknown_and_untimed(spark):
@@ -137,6 +194,24 @@ def test_kernels_on_many_series():
     want = np.zeros(len(v), bool)
     want[np.arange(50) * 40 + rnd.integers(5, 35, 50)] = True
     v[want] += 20
-    assert (kalman_spikes(key, us, v, np.full(len(v), 0.5)) == want).all()
-    assert not stuck(key, us, v).any()
-    assert kalman_spikes(key[:0], us[:0], v[:0], v[:0]).size == 0
+    scale = usual_changes(key, v, np.full(len(v), 0.5))
+    assert (kalman_spikes(key, us, v, scale) == want).all() and (scale == 0.5).all()
+    ids = np.arange(len(v))
+    assert not len(Runs(key, us, v, ids, ids).stuck()[0])
+    assert kalman_spikes(key[:0], us[:0], v[:0], v[:0]).size == 0 and not len(Runs(key[:0], us[:0], v[:0], ids[:0], ids[:0]).stuck()[0])
+
+
+def test_a_cut_with_enough_memory_changes_nothing():
+    rnd = np.random.default_rng(5)
+    for _ in range(200):
+        n = 120
+        v = rnd.choice([0.0, 0.3, 10.0, -10.0, 20.0], n, p=[0.4, 0.3, 0.1, 0.1, 0.1])
+        us = np.cumsum(rnd.integers(1, 4, n)) * 3_600_000_000
+        scale = np.full(n, 0.5)
+        whole = kalman_spikes(np.zeros(n, int), us, v, scale)
+        at = int(rnd.integers(30, 90))
+        left = slice(0, at + 3)
+        right = slice(at - MEMORY - 3, n)
+        a = kalman_spikes(np.zeros(at + 3, int), us[left], v[left], scale[left])[:at]
+        b = kalman_spikes(np.zeros(n - at + MEMORY + 3, int), us[right], v[right], scale[right])[MEMORY + 3 :]
+        assert (np.r_[a, b] == whole).all()
