@@ -17,6 +17,11 @@ def p8_ids(spark: SparkSession, d: str) -> DataFrame:
     return encode.encode_corpus(table(spark, d, "documents"))
 
 
+def p8_pieces(spark: SparkSession, d: str) -> DataFrame:
+    """How many chunks each text has, and to how many pieces they were stitched."""
+    return encode.corpus_pieces(table(spark, d, "documents"))
+
+
 def p9_mix(spark: SparkSession, d: str) -> DataFrame:
     return mix.mix(table(spark, d, "documents"), table(spark, d, "mix_target"))[0]
 
@@ -33,7 +38,7 @@ def p10_redacted(spark: SparkSession, d: str) -> DataFrame:
     return pii.redacted(table(spark, d, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (p6_found, p8_ids, p9_mix, p9_shares, p10_found, p10_redacted)}
+QUERIES = {f.__name__: f for f in (p6_found, p8_ids, p8_pieces, p9_mix, p9_shares, p10_found, p10_redacted)}
 
 SQL = {
     "p6_found": """
