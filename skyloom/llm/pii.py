@@ -1,7 +1,7 @@
 """Personal information in free text: spans of e-mail addresses, telephone numbers, identity numbers, street addresses and names.
 
 Regular expressions propose spans, checksum validators and the words nearby set their score, and what reaches ``THRESHOLD`` is
-found. Text is scanned as printed or as scanned: words broken at line ends are read across the break, and letters are compared by shape
+found. Given names are in no list: they are learned from the corpus (``given_names``). Text is scanned as printed or as scanned: words broken at line ends are read across the break, and letters are compared by shape
 (``shape``), so that a misread letter does not hide an item. Positions always refer to the text as it is.
 """
 
@@ -9,8 +9,11 @@ from __future__ import annotations
 
 import re
 import unicodedata
+import zlib
 from bisect import bisect_right
-from collections.abc import Callable, Iterator
+from collections import Counter
+from collections.abc import Callable, Iterable, Iterator
+from functools import lru_cache, partial
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -20,13 +23,9 @@ THRESHOLD = 0.6
 KINDS = ("email", "phone", "id_number", "address", "person_name")
 
 # ---- fixed values: word lists ------------------------------------------------------------------------------------------------
-GIVEN_EN = "Agnes Alan Albert Alfred Alice Amina Andrew Anne Annie Anthony Arthur Barbara Beatrice Bernard Brian Carol Catherine Charles Christine Clara Colin Daniel David Deborah Dennis Donald Doris Dorothy Douglas Edith Edward Eileen Elizabeth Elsie Emily Emma Ernest Ethel Eva Evelyn Fiona Florence Francis Frank Fred Frederick Geoffrey George Gerald Gladys Gordon Grace Graham Harold Harry Hazel Helen Henry Hilda Howard Hugh Irene Ivy James Jane Janet Jean Jennifer Jessie Joan John Joseph Joyce Keith Kenneth Laura Lawrence Leonard Leslie Lilian Linda Louise Lucy Mabel Margaret Marion Martha Mary Maurice Mei Michael Nancy Neil Nigel Nora Norman Olive Oliver Owen Patricia Patrick Pauline Percy Peter Philip Phyllis Priya Ralph Raymond Richard Robert Roger Ronald Rose Roy Ruth Samuel Sarah Sheila Sidney Simon Stanley Stephen Susan Sylvia Thomas Tomasz Vera Victor Violet Walter Wendy Wilfred William Winifred"
-GIVEN_DE = "Anna Bernd Brigitte Christa Dieter Elfriede Erika Ernst Frieda Friedrich Fritz Gerda Gerhard Gertrud Gisela Günter Hannelore Hans Hedwig Heinrich Heinz Helga Helmut Herbert Hermann Hildegard Horst Ilse Ingrid Johann Jürgen Karin Karl Klaus Kurt Lieselotte Ludwig Manfred Monika Otto Paul Rainer Renate Rolf Rudolf Sabine Siegfried Ursula Uwe Werner Wilhelm Wolfgang"
-GIVEN_FR = "Alain Albert Antoine Bernadette Bernard Camille Cécile Chantal Claude Colette Denise Émile Françoise François Gaston Georges Gérard Germaine Gilbert Hélène Henri Jacqueline Jacques Jeanne Louis Luc Lucien Madeleine Marcel Marcelle Marguerite Marie Michel Monique Nathalie Nicole Noël Noëlle Odette Paulette Philippe Pierre Raymonde René Renée Roger Simone Solange Suzanne Sylvie Thérèse Yves Yvette Yvonne"
-GIVEN_ES = "Agustín Alberto Alejandro Ana Andrés Antonio Begoña Carlos Carmen Concepción Consuelo Cristóbal Diego Dolores Elena Emilio Enrique Esperanza Esteban Eugenio Fernando Francisca Francisco Gonzalo Inés Isabel Jaime Javier Jesús Joaquín Jorge José Josefa Juan Juana Julián Luis Luisa Manuel Manuela María Mercedes Miguel Montserrat Pablo Pedro Pilar Rafael Ramón Ricardo Rocío Rosa Rosario Salvador Santiago Teresa Tomás Vicente"
 TITLES = "Mr Mrs Miss Ms Dr Rev Capt Prof Sir Col Major Alderman Councillor Cllr Herr Frau Fräulein Frl Pfarrer Mme Mlle Monsieur Madame Mademoiselle Abbé Maître Sr Sra Srta Don Doña Dña Señor Señora Señorita Dra"
 #: Capitalised words that begin sentences and notices, by language; they are no surnames.
-NOT_SURNAMES_EN = "The This That These Those It In On At And But For From With Work Notice Members Residents Entries Enquiries Minute Old Eggs Fat A An No His Her Hls Your Of Signed Apply Tickets Winners Anyone Mail Lost Found Wanted Sale Situation Telephone Phone Page Best Early Terms Free Good Try Box Lot Ref Case Write Cook Reward Road Street Lane Avenue Close Terrace Rd Ave St Terr Monday Tuesday Wednesday Thursday Friday Saturday Sunday January February March April May June July August September October November December Steamer Star Sur Lady Residents Young Farmers Registered Journal Issn Office Value Delivery"
+NOT_SURNAMES_EN = "The This That These Those It In On At And But For From With Work Notice Members Residents Entries Enquiries Minute Old Eggs Fat A An No His Her Your Of Signed Apply Tickets Winners Anyone Mail Lost Found Wanted Sale Situation Telephone Phone Page Best Early Terms Free Good Try Box Lot Ref Case Write Cook Reward Road Street Lane Avenue Close Terrace Rd Ave St Terr Monday Tuesday Wednesday Thursday Friday Saturday Sunday January February March April May June July August September October November December Steamer Star Sur Lady Residents Young Farmers Registered Journal Issn Office Value Delivery"
 NOT_SURNAMES_DE = "Der Die Das Den Dem Des Ein Eine Im Am An Auf Bei Beim Bis Es Er Sie Und Oder Von Vom Wie Seit Man Mit Nach Zum Zur Aus Telefon Auskunft Anmeldungen Verloren Ausweis Nr Chiffre Gesucht Verkaufen Montag Dienstag Mittwoch Donnerstag Freitag Samstag Sonntag Januar Februar März Mai Juni Juli Oktober Dezember Mark"
 NOT_SURNAMES_FR = "Le La Les Un Une Des Du De Et Ou Au Aux En On Il Elle Par Pour Perdu Depuis Hier Prix Tél Téléphone Leçons Écrire Vendre Demande Annonce Président Vapeur Route Travaux Lundi Mardi Mercredi Jeudi Vendredi Samedi Dimanche"
 NOT_SURNAMES_ES = "El Los Las Una Del Al Se Su Por Para Desde Informes Falleció Extraviada Escribir Teléfono Tel Apartado Precios Busca Vende Clases Presidente Vapor Camino Obras Lunes Martes Miércoles Viernes Sábado Domingo Acudieron"
@@ -42,6 +41,10 @@ STREET_ES = "calle c/ avenida avda av plaza pza plza paseo pº ronda travesía c
 NAME_CUES = "Signed bride groom Winners erteilt starb Vorsitzende Vorsitzender presidente président Informes avisar Falleció décès adresser rapporter remember"
 #: Second words of places: what they end is a place, not a person.
 PLACE_WORDS = "Green Cross Quay Bridge Harbour Bay Moor Town City Hall Church Island River Valley"
+#: Words of notices of lost papers, before or after a number.
+FOUND_CUES = "abzugeben avisar rapporter restituer handed returned"
+#: Words before a number that speak against a person's number.
+NOT_A_PERSON = "registration registered docket invoice lot box ref reference case minute patent ISSN ISBN Chiffre Apartado"
 ID_CUES = "number numbered card papers claim identity insurance social security passport licence clerk wallet Ausweis Ausweises Personalausweis Kennkarte Nr carte identité n° sécurité documento DNI NIF cédula identidad"
 NUMBER_NOT_PHONE = "ISSN ISBN patent Minute shelf Lot Ref Box No Case Chiffre Apartado report register registered docket invoice"
 COUNTRY_DIGITS = {"44": 10, "1": 10, "33": 9, "49": 11, "34": 9, "353": 9, "39": 10, "31": 9, "32": 9, "41": 9, "43": 11, "351": 9}
@@ -62,11 +65,11 @@ def _shapes(words: str) -> frozenset[str]:
     return frozenset(shape(w) for w in words.split())
 
 
-_GIVEN = _shapes(f"{GIVEN_EN} {GIVEN_DE} {GIVEN_FR} {GIVEN_ES}")
 NOT_SURNAMES = " ".join((NOT_SURNAMES_EN, NOT_SURNAMES_DE, NOT_SURNAMES_FR, NOT_SURNAMES_ES))
 _STOP, _COMMON, _PLACE = frozenset(NOT_SURNAMES.lower().split()), frozenset(COMMON_SURNAMES.lower().split()), frozenset(PLACE_WORDS.lower().split())
 _TITLES, _NOT, _FIRM_BEFORE, _FIRM_AFTER = _shapes(TITLES), _shapes(NOT_SURNAMES), _shapes(FIRM_BEFORE), _shapes(FIRM_AFTER)
 _CUES, _ID_CUES, _NO_PHONE = _shapes(NAME_CUES), _shapes(ID_CUES), _shapes(NUMBER_NOT_PHONE)
+_FOUND_CUES, _NO_PERSON = _shapes(FOUND_CUES), _shapes(NOT_A_PERSON)
 _STREET_EN, _STREET_SHORT = _shapes(" ".join(w for w in STREET_EN.split() if len(w) > 3)), frozenset(w for w in STREET_EN.split() if len(w) <= 3)
 _STREET_DE = tuple(shape(w) for w in STREET_DE.split())
 _ABBREVIATED = _shapes("Terr Cres Gdns Blvd")
@@ -161,6 +164,12 @@ def mod97(d: str) -> bool:
     return len(d) == 15 and int(d[-2:]) == 97 - int(d[:13]) % 97
 
 
+def iban(s: str) -> bool:
+    """Check digits of a bank account number: with its first four characters at the end and letters as 10 to 35, it leaves 1 by 97."""
+    x = re.sub(r"\W", "", s).upper()
+    return len(x) > 4 and int("".join(str(int(c, 36)) for c in x[4:] + x[:4])) % 97 == 1
+
+
 def dni(d: str, letter: str) -> bool:
     """Check letter of a Spanish identity number."""
     return len(d) == 8 and DNI_LETTERS[int(d) % 23] == letter.upper()
@@ -184,6 +193,9 @@ _ID = re.compile(
     rf"|[12lI] ?{_D}{{2}} ?{_D}{{2}} ?{_D}{{2}} ?{_D}{{3}} ?{_D}{{3}}(?: ?{_D}{{2}})?"
     rf"|{_D}{{8}}[ -]?[A-Z]|[XYZ][ -]?{_D}{{7}}[ -]?[A-Z])(?![\w-])"
 )
+#: Cards and bank accounts, which only their check digits confirm.
+_CARD = re.compile(r"(?<![\w.,/+-])(?:\d{4}(?P<gap>[ -]?)\d{4}(?P=gap)\d{4}(?P=gap)\d{1,7}|3\d{3}[ -]?\d{6}[ -]?\d{5})(?![\w-])")
+_IBAN = re.compile(r"(?<!\w)[A-Z]{2}\d{2}(?: ?[A-Z\d]{4}){2,7}(?: ?[A-Z\d]{1,3})?(?!\w)")
 _SEEN = re.compile(r"[^\W\d_]+°?|n[°º]")
 
 
@@ -205,29 +217,49 @@ def _areas(s: str) -> Iterator[tuple[int, int]]:
             yield max(0, m.start() - 4), min(len(s), m.end() + 3)
 
 
+def _checked(x: str, d: str) -> bool | None:
+    """Whether the check digits of a number of the shapes of ``_ID`` hold; None for shapes without any."""
+    if re.fullmatch(r"\S{9}", x) and len(d) == 9:
+        return luhn(d)
+    if len(d) in (13, 15) and d[0] in "12":
+        return mod97(d) if len(d) == 15 else None
+    if x[-1].isalpha() and (len(d) == 8 or x[0] in "XYZ" and len(d) == 7):
+        return dni(d if len(d) == 8 else str("XYZ".index(x[0])) + d, x[-1])
+    return None
+
+
 def find_numbers(s: str) -> Iterator[tuple[str, int, int]]:
+    """Numbers of persons and telephones. A shape alone is worth half; a check digit that holds confirms it, one that fails rejects it
+    unless a word nearby speaks for a person's number; shapes without one need their signs or such a word."""
     taken = []
     areas = list(_areas(s))
     for m in (m for a, b in areas for m in _ID.finditer(s, a, b)):
         x = m.group()
         d = digits(x)
         real = sum(c.isdigit() for c in x)
-        letters = [c for c in x if c.isalpha()]
-        cue = any(w in _ID_CUES for w in _before(s, m.start())[-5:]) or any(shape(w) in _ID_CUES for w in _SEEN.findall(s[m.end() : m.end() + 24]))
+        after = {shape(w) for w in _SEEN.findall(s[m.end() : m.end() + 24])}
+        near = _before(s, m.start())
+        cue = any(w in _ID_CUES for w in near[-5:]) or not after.isdisjoint(_ID_CUES) or not after.isdisjoint(_FOUND_CUES)
         score = 0.5 if real >= 0.6 * len(d) else 0.0
-        if m["sep"] is not None:
-            score += 0.25 if m["sep"] else -0.3
-            score += 0.2 * luhn(d) * (not m["sep"])
-        elif len(d) in (13, 15) and d[0] in "12" and x.count(" ") >= 4:
-            score += 0.2 + 0.3 * mod97(d)
-        elif len(letters) == 1 and x[-1].isalpha():
-            score += 0.2 * dni(d, x[-1])
-        elif x[0].isalpha() and x[1] == " " and x.count(" ") == 3:
+        ok = _checked(x, d)
+        if ok is not None:
+            score += 0.5 if ok else -0.25
+        elif m["sep"] or x.count(" ") >= 3:
             score += 0.25
+        if near and near[-1] in _NO_PERSON:
+            score -= 0.4
         score += 0.4 if cue else -0.1
         if score >= THRESHOLD:
             taken.append(m.span())
             yield "id_number", m.start(), m.end()
+    for m in (m for a, b in areas for m in _CARD.finditer(s, a, b)):
+        if luhn(digits(m.group())) and not any(m.start() < q and p < m.end() for p, q in taken):
+            taken.append(m.span())
+            yield "id_number", m.start(), m.end()
+    for m in _IBAN.finditer(s) if areas else ():
+        if iban(m.group()) and not any(m.start() < q and p < m.end() for p, q in taken):
+            taken.append(m.span())
+            yield "id_number", m.start(), m.end()
     for m in (m for a, b in areas for m in _PHONE.finditer(s, a, b)):
         a, b = m.span()
         x = m.group()
@@ -245,7 +277,7 @@ def find_numbers(s: str) -> Iterator[tuple[str, int, int]]:
             score += 0.2 if len(digits(x)) >= 8 else -0.4
         elif len(d) == 7:
             near = _before(s, a, 24)[-1:]
-            score -= 0.4 if any(w in _NO_PHONE for w in near) or d[:3] in ("000", "317") else 0.0
+            score -= 0.4 if any(w in _NO_PHONE for w in near) else 0.0
         elif not 9 <= len(d) <= 12:
             score -= 0.4
         if score >= THRESHOLD:
@@ -343,48 +375,77 @@ _WORD = re.compile(r"(?<!\w)(?:[A-ZÀ-ÖØ-Þ](?:\.(?!\w)|[\wſ’']*(?:-[A-ZÀ-
 
 
 _PARTICLE = re.compile(r" (?:(?:von|van|de)(?: der| den| dem| la| las| los)?|zu|vom|zum|zur|du|des|del|della|di|da|dos|ten|ter) | d['’]")
-_KNOWN: dict[str, str] = {}
-
-
-def _kind(w: str) -> str:
-    """``_judge``, remembered; the memory is emptied when it holds 100,000 words."""
-    k = _KNOWN.get(w)
-    if k is None:
-        if len(_KNOWN) >= 100_000:
-            _KNOWN.clear()
-        k = _KNOWN[w] = _judge(w)
-    return k
-
-
-def _judge(w: str) -> str:
-    """I(nitial), 8 (a digit that may be one), T(itle), G(iven name), U(nlikely as a surname), C(ommon word and surname), S(urname perhaps),
-    2 (a short one perhaps), - (no part of a name)."""
-    if len(w) == 2 and w[1] == ".":
-        return "I" if w[0].isalpha() else "8"
-    if len(w) == 1:
-        return "-"
-    if w.lower() in _COMMON:
-        return "C"
-    if w.lower() in _STOP:
-        return "U"
-    sh = shape(w)
-    if sh in _TITLES:
-        return "T"
-    if sh in _FIRM_BEFORE:
-        return "F"
-    if sh in _GIVEN:
-        return "G"
-    if len(w) == 2 and w[1].islower():  # by shape "Li" would be "Il"
-        return "2"
-    if sh in _NOT:
-        return "U"
-    return "S" if len(w) > 2 else "-"
-
-
-def find_names(s: str, french: bool, broken: Callable[[int, int], bool] = lambda a, b: False) -> Iterator[tuple[str, int, int]]:
-    """``broken`` tells whether the text has a line break between two positions: there a notice may begin with a common word."""
-    words = [(m.start(), m.end(), m.group()) for m in _WORD.finditer(s)]
-    kinds = [_kind(w) for _, _, w in words]
+#: Given names are learned as codes of their shapes; a bitmap of so many bits (half a megabyte) is all that is sent to the tasks.
+CODES = 1 << 22
+#: A word is a given name if it stood so often where only a given name can, and in so large a share of the places where it stands
+#: before a capitalised word.
+LEAST_SEEN, LEAST_SHARE = 2, 0.05
+
+
+@lru_cache(maxsize=200_000)
+def code(word: str) -> int:
+    return zlib.crc32(shape(word).encode()) % CODES
+
+
+def bitmap(codes: Iterable[int]) -> bytes:
+    bits = bytearray(CODES // 8)
+    for c in codes:
+        bits[c >> 3] |= 1 << (c & 7)
+    return bytes(bits)
+
+
+class Words:
+    """What words may be in a name, given the bitmap of learned given names; remembers up to 100,000 words."""
+
+    def __init__(self, given: bytes | None = None):
+        self.given, self.known = given, {}
+
+    def kind(self, w: str) -> str:
+        k = self.known.get(w)
+        if k is None:
+            if len(self.known) >= 100_000:
+                self.known.clear()
+            k = self.known[w] = self._judge(w)
+        return k
+
+    def _judge(self, w: str) -> str:
+        """I(nitial), 8 (a digit that may be one), T(itle), G(iven name), U(nlikely as a surname), C(ommon word and surname), S(urname perhaps),
+        2 (a short one perhaps), - (no part of a name)."""
+        if len(w) == 2 and w[1] == ".":
+            return "I" if w[0].isalpha() else "8"
+        if len(w) == 1:
+            return "-"
+        if w.lower() in _COMMON:
+            return "C"
+        if w.lower() in _STOP:
+            return "U"
+        sh = shape(w)
+        if sh in _TITLES:
+            return "T"
+        if sh in _FIRM_BEFORE:
+            return "F"
+        if self.given is not None and self.given[(c := code(w)) >> 3] >> (c & 7) & 1:
+            return "G"
+        if len(w) == 2 and w[1].islower():  # by shape "Li" would be "Il"
+            return "2"
+        if sh in _NOT:
+            return "U"
+        return "S" if len(w) > 2 else "-"
+
+
+NOTHING_LEARNED = Words()
+
+
+def _words(s: str) -> list[tuple[int, int, str]]:
+    return [(m.start(), m.end(), m.group()) for m in _WORD.finditer(s)]
+
+
+def find_names(s: str, french: bool, broken: Callable[[int, int], bool] = lambda a, b: False, known: Words = NOTHING_LEARNED, words: list[tuple[int, int, str]] | None = None) -> Iterator[tuple[str, int, int]]:
+    """Names by their structure (titles, initials, capitals), the words around them, and the given names ``known`` has learned.
+
+    ``broken`` tells whether the text has a line break between two positions: there a notice may begin with a common word."""
+    words = _words(s) if words is None else words
+    kinds = [known.kind(w) for _, _, w in words]
     n = len(words)
     gaps = [s[words[i][1] : words[i + 1][0]] for i in range(n - 1)] + ["\n"]
 
@@ -465,11 +526,29 @@ def find_names(s: str, french: bool, broken: Callable[[int, int], bool] = lambda
         i = max(i + 1, run_end if k in "GI" and not (run_end < n and kinds[run_end] == "S") else 0)
 
 
-def find(text: str) -> list[tuple[str, int, int]]:
+def _french(s: str) -> bool:
+    return sum(map(s.count, (" le ", " la ", " du ", " des ", " et ", " une "))) > sum(map(s.count, (" the ", " of ", " der ", " die ", " und ", " el ", " en ", " y ")))
+
+
+def evidence(text: str) -> tuple[list[int], list[int]]:
+    """Codes of the words that stand before a capitalised word, and of those that stand where only a given name can: in a name that
+    its form of address, its initials or the words around it show without any knowledge of names."""
+    s = Flat(text).s
+    words = _words(s)
+    before = [code(w) for (_, end, w), (start, _, _) in zip(words, words[1:]) if start == end + 1 and s[end] == " " and len(w) > 2]
+    sure = []
+    for _, a, b in find_names(s, _french(s), words=words):
+        parts = [w for w in _WORD.findall(s, a, b) if len(w) > 2]
+        if s.find(",", a, b) < 0:
+            sure += map(code, parts[:-1])
+    return before, sure
+
+
+def find(text: str, known: Words = NOTHING_LEARNED) -> list[tuple[str, int, int]]:
     """The items of a text as (kind, start, end) by code points, end exclusive, in order; no two overlap."""
     flat = Flat(text)
     s = flat.s
-    french = sum(map(s.count, (" le ", " la ", " du ", " des ", " et ", " une "))) > sum(map(s.count, (" the ", " of ", " der ", " die ", " und ", " el ", " en ", " y ")))
+    french = _french(s)
     got = [*find_emails(s), *find_numbers(s), *find_addresses(s)]
     taken = sorted((a, b) for _, a, b in got)
     out = []
@@ -479,7 +558,7 @@ def find(text: str) -> list[tuple[str, int, int]]:
             out.append((kind, a, b))
             last = b
     starts = [a for a, _ in taken]
-    for kind, a, b in find_names(s, french, lambda a, b: "\n" in text[slice(*flat.back(a, b))]):
+    for kind, a, b in find_names(s, french, lambda a, b: "\n" in text[slice(*flat.back(a, b))], known):
         p = bisect_right(starts, b - 1) - 1
         if p < 0 or taken[p][1] <= a:
             out.append((kind, a, b))
@@ -495,11 +574,44 @@ def redact(text: str, items: list[tuple[str, int, int]] | None = None) -> str:
     return "".join([*parts, text[last:]])
 
 
-def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    seen: Counter[int] = Counter()
+    sure: Counter[int] = Counter()
+
+    def rows() -> pa.RecordBatch:
+        return pa.record_batch([pa.array(list(seen), pa.int32()), pa.array(list(seen.values()), pa.int64()), pa.array([sure[c] for c in seen], pa.int64())], ["code", "seen", "sure"])
+
+    for b in batches:
+        for t in b.column(0).to_pylist():
+            if t:
+                x, y = evidence(t)
+                seen.update(x)
+                sure.update(y)
+        if len(seen) > 200_000:
+            yield rows()
+            seen.clear()
+            sure.clear()
+    yield rows()
+
+
+def given_names(documents: DataFrame, least_seen: int = LEAST_SEEN, least_share: float = LEAST_SHARE) -> bytes:
+    """The given names of a corpus, learned from all its texts, as a bitmap of ``CODES`` bits.
+
+    No list of names is used: a word counts as a given name if at least ``least_seen`` times, and in ``least_share`` of the places where it
+    stands before a capitalised word, a form of address, initials or the words around show it to be one. Tasks add their
+    words up before they are shuffled; the driver sees codes only, of which there are at most ``CODES``.
+    """
+    n = documents.select(F.col("text").cast("string")).mapInArrow(_evidence, "code int, seen bigint, sure bigint").groupBy("code").agg(F.sum("seen").alias("seen"), F.sum("sure").alias("sure"))
+    got = n.where((F.col("sure") >= least_seen) & (F.col("sure") >= least_share * F.col("seen"))).select("code").toPandas()
+    return bitmap(got["code"].tolist())
+
+
+def _found(batches: Iterator[pa.RecordBatch], given: bytes) -> Iterator[pa.RecordBatch]:
+    known = Words(given)
     for b in batches:
         ids, kinds, starts, ends = [], [], [], []
         for i, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
-            for kind, a, e in find(t) if t else ():
+            for kind, a, e in find(t, known) if t else ():
                 ids.append(i)
                 kinds.append(kind)
                 starts.append(a)
@@ -507,23 +619,27 @@ def _found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.record_batch([pa.array(ids, pa.int64()), pa.array(kinds, pa.string()), pa.array(starts, pa.int64()), pa.array(ends, pa.int64())], ["doc_id", "kind", "start_pos", "end_pos"])
 
 
-def _redacted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _redacted(batches: Iterator[pa.RecordBatch], given: bytes) -> Iterator[pa.RecordBatch]:
+    known = Words(given)
     for b in batches:
         texts = b.column(1).to_pylist()
-        items = [find(t) if t else [] for t in texts]
+        items = [find(t, known) if t else [] for t in texts]
         out = [redact(t, x) if t else t for t, x in zip(texts, items)]
         yield pa.record_batch([b.column(0).cast(pa.int64()), pa.array(out, pa.string()), pa.array([len(x) for x in items], pa.int32())], ["doc_id", "text", "n_items"])
 
 
-def found(documents: DataFrame) -> DataFrame:
+def found(documents: DataFrame, given: bytes | None = None) -> DataFrame:
     """One row per item: ``doc_id``, ``kind``, ``start_pos``, ``end_pos``. Rows are scanned where they lie, without a shuffle.
 
-    NULL, empty and blank texts have no items; a long text is scanned whole; repeated rows give their items each time; other
-    columns of the input do not matter.
+    ``given`` is a bitmap of given names (``given_names`` of a larger corpus, say); without it they are learned from these documents first,
+    which scans them once more. NULL, empty and blank texts have no items; a long text is scanned whole; repeated rows give
+    their items each time; other columns of the input do not matter.
     """
-    return documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(_found, "doc_id bigint, kind string, start_pos bigint, end_pos bigint")
+    given = given_names(documents) if given is None else given
+    return documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(partial(_found, given=given), "doc_id bigint, kind string, start_pos bigint, end_pos bigint")
 
 
-def redacted(documents: DataFrame) -> DataFrame:
-    """``doc_id``, ``text`` with typed placeholders, ``n_items``. NULL stays NULL, empty stays empty."""
-    return documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(_redacted, "doc_id bigint, text string, n_items int")
+def redacted(documents: DataFrame, given: bytes | None = None) -> DataFrame:
+    """``doc_id``, ``text`` with typed placeholders, ``n_items``; names as in ``found``. NULL stays NULL, empty stays empty."""
+    given = given_names(documents) if given is None else given
+    return documents.select(F.col("doc_id").cast("bigint"), F.col("text").cast("string")).mapInArrow(partial(_redacted, given=given), "doc_id bigint, text string, n_items int")
