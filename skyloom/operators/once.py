@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 from functools import reduce
 
@@ -24,7 +25,8 @@ SALTS = 64
 class Copies:
     """What makes two rows copies, and which of them stays.
 
-    ``identifier`` is the message's own id (compared as its 64 hexadecimal digits where ``hexadecimal``), ``natural`` the rest of the key,
+    ``identifier`` is the message's own id (compared as its 64 hexadecimal digits; where not ``hexadecimal`` the message is identified by
+    it and the natural key together), ``natural`` the rest of the key,
     ``arrival`` then ``row_id`` the order: the smallest stays. ``partition`` gives the partition of a row from its natural key, so all
     copies of a row lie in one partition. A row whose identifier is NULL cannot be recognised again and always stays; NULLs in
     the natural key are equal to each other; a NULL arrival is earliest.
@@ -38,7 +40,9 @@ class Copies:
     hexadecimal: bool = True
 
     def ident(self) -> Column:
-        return hex_id(self.identifier) if self.hexadecimal else F.col(self.identifier).cast("string")
+        if self.hexadecimal:
+            return hex_id(self.identifier)
+        return F.concat_ws("|", F.col(self.identifier).cast("string"), *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in self.natural])
 
     def rows(self, df: DataFrame) -> DataFrame:
         """Only what the decision needs: a 128-bit key, the identifier's own hash, the order and the partition."""
@@ -55,13 +59,13 @@ def _later(rows: DataFrame, *by: str) -> Column:
 
 
 def losers(rows: DataFrame, index: DataFrame, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``tab`` and ``id`` of all rows but the single winner of each key, among rows with an identifier.
+    """``tab``, ``id`` and ``part`` of all rows but the single winner of each key, among rows with an identifier.
 
     Rows of identifiers that the index shows as hot are first decided within salts, and only the winners of the salts meet: a
     group of copies that holds a third of all rows never lies in one task.
     """
-    out = ["tab", "id"]
-    known = rows.where(F.col("ident").isNotNull()).select("tab", "id", "at", "ident", "k1", "k2")
+    out = ["tab", "id", "part"]
+    known = rows.where(F.col("ident").isNotNull()).select(*out, "at", "ident", "k1", "k2")
     hot = index.groupBy("ident").agg(F.sum("n").alias("n")).where(F.col("n") > hot_rows).select("ident", F.lit(True).alias("hot"))
     marked = known.join(F.broadcast(hot), "ident", "left").drop("ident")
     plain = marked.where(F.col("hot").isNull())
@@ -73,55 +77,73 @@ def losers(rows: DataFrame, index: DataFrame, hot_rows: int = HOT_ROWS) -> DataF
     return cold.unionByName(first.where("x").select(*out)).unionByName(second.where("x").select(*out))
 
 
-def _surplus(rows: DataFrame, hot_rows: int) -> DataFrame:
-    """``surplus`` of rows (see ``Copies.rows``) with ``new``: whether they belong to the incoming batch.
+_SURPLUS = schemas.flat("tab int, id bigint, part string")
 
-    The index has one entry per message and partition, a small part of the rows; it is written once to the shared folder and
-    serves all three lookups.
-    """
-    shared_dir(rows.sparkSession)
-    index = (
-        rows.where(F.col("ident").isNotNull()).groupBy("ident", "part")
-        .agg(F.count(F.lit(1)).alias("n"), F.max("new").alias("arrives"), F.min("new").alias("only_new"))
-    ).checkpoint()
-    arriving = index.where("arrives").select("ident").distinct()
-    affected = index.where("not only_new").join(arriving, "ident", "left_semi").select("part").distinct()
-    # a table's partitions are days or topic partitions: their names grow with its history, not with its rows
-    touched = rows.join(F.broadcast(affected.withColumn("touched", F.lit(True))), rows["part"].eqNullSafe(affected["part"]), "left").drop(affected["part"])
-    # one shuffle decides both: a touched partition's keys meet the incoming keys, an untouched partition's only each other
-    side = F.coalesce("touched", F.lit(False)) | F.col("new")
-    whole = touched.withColumn("k1", F.when(side, F.col("k1")).otherwise(F.xxhash64("k1")))
-    return losers(whole, index, hot_rows)
-
-
-def surplus(history: DataFrame, incoming: DataFrame, copies: Copies, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """The surplus rows of a delivery log that arrived as ``history`` and then ``incoming``, as one column ``id``.
-
-    The identifier index tells which partitions of the history hold an identifier of the incoming messages. Those
-    partitions are combined with the incoming rows and their winners recomputed; the other partitions are decided by
-    themselves. Copies share a partition, so the two decisions never overlap.
+
+class SurplusLedger:
+    """Which rows of a partitioned delivery log are surplus: the decision of ``OnceStore`` kept beside a log that stays as it is.
+
+    The log's own partitions are the history. A merge looks up the historical partitions that hold an identifier of the incoming
+    messages, combines their rows with the incoming ones, recomputes the single winners, and overwrites only those
+    partitions of the ledger, in one atomic rename. What other partitions hold is what earlier merges left there.
     """
-    old, new = (copies.rows(x).withColumns({"new": F.lit(b), "tab": F.lit(0)}) for x, b in ((history, False), (incoming, True)))
-    return _surplus(old.unionByName(new), hot_rows).select("id")
 
+    def __init__(self, spark: SparkSession, root: str, hot_rows: int = HOT_ROWS):
+        self.table = VersionedTable(spark, f"{root}/surplus", F.col("part"), _SURPLUS)
+        self.hot_rows = hot_rows
+        shared_dir(spark)
 
-def surplus_by_arrival(df: DataFrame, copies: Copies, cut: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``surplus`` of one table that holds both sides: rows with ``arrival < cut`` (or without one) are the history."""
-    return surplus_of_tables({"": (df, copies, cut)}, hot_rows).select("id")
+    @staticmethod
+    def index(rows: DataFrame) -> DataFrame:
+        """The identifier index: one entry per message and partition with its number of rows, a small part of the rows; written once."""
+        return rows.where(F.col("ident").isNotNull()).groupBy("ident", "part").agg(F.count(F.lit(1)).alias("n")).checkpoint()
+
+    def _write(self, rows: DataFrame, index: DataFrame, parts: list[str] | None) -> None:
+        self.table.replace(losers(rows, index, self.hot_rows).select(*_SURPLUS.names), parts)
+
+    def load(self, rows: DataFrame, index: DataFrame) -> None:
+        """The first load: every partition is decided by itself, for copies share a partition."""
+        self._write(rows, index, None)
+
+    def merge(self, history: DataFrame, index: DataFrame, incoming: DataFrame) -> list[str]:
+        """Merge a batch; returns the partitions that were rewritten. A batch that was merged before changes nothing."""
+        arriving = self.index(incoming)
+        known = index.join(arriving.select("ident").distinct(), "ident", "left_semi").select("part")
+        affected = sorted(r[0] for r in known.union(arriving.select("part")).distinct().collect())  # partitions, not rows
+        if affected:
+            self._write(history.where(F.col("part").isin(affected)).unionByName(incoming), index.unionByName(arriving), affected)
+        return affected
+
+    def read(self) -> DataFrame:
+        return self.table.read()
 
 
-def surplus_of_tables(tables: dict[str, tuple[DataFrame, Copies, Column]], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """``surplus_by_arrival`` of several tables in one pass, as ``table_name`` and ``id``: one index, one shuffle, one window.
+def surplus_of_tables(tables: dict[str, tuple[DataFrame, Copies, Column]], root: str | None = None, hot_rows: int = HOT_ROWS) -> tuple[DataFrame, list[str]]:
+    """The surplus rows (``table_name``, ``id``, ``part``) of delivery logs, each with its copies' rule and the instant at which the incoming batch begins.
 
-    Each table's partitions, identifiers and keys are kept apart by its place in the list.
+    Rows with ``arrival < cut`` (or without one) are the history, which is loaded first; then the batch is merged through the identifier
+    index (see ``SurplusLedger``; its folder is ``root``, by default a new one in the shared folder). All tables go
+    in one pass, their partitions, identifiers and keys kept apart by their place in the list. Also returns the partitions that the
+    batch rewrote.
     """
     parts = []
     for i, (df, copies, cut) in enumerate(tables.values()):
         r = copies.rows(df)
-        own = {"ident": F.when(F.col("ident").isNotNull(), F.xxhash64(F.lit(i), F.col("ident"))), "k1": F.xxhash64(F.lit(i), F.col("k1")), "part": F.concat(F.lit(f"{i}/"), F.coalesce("part", F.lit("none")))}
+        own = {"ident": F.when(F.col("ident").isNotNull(), F.xxhash64(F.lit(i), F.col("ident"))), "k1": F.xxhash64(F.lit(i), F.col("k1")), "part": F.concat(F.lit(f"{i}_"), F.coalesce("part", F.lit("none")))}
         parts.append(r.withColumns(own | {"new": F.coalesce(F.col("at") >= cut, F.lit(False)), "tab": F.lit(i)}))
+    rows = reduce(DataFrame.unionByName, parts)
+    ledger = SurplusLedger(rows.sparkSession, root or f"{shared_dir(rows.sparkSession)}/surplus-{uuid.uuid4().hex[:10]}", hot_rows)
+    history, incoming = rows.where(~F.col("new")), rows.where("new")
+    index = ledger.index(history)
+    ledger.load(history, index)
+    rewritten = ledger.merge(history, index, incoming)
     names = F.array(*[F.lit(n) for n in tables])
-    return _surplus(reduce(DataFrame.unionByName, parts), hot_rows).select(F.get(names, F.col("tab")).alias("table_name"), "id")
+    return ledger.read().select(F.get(names, F.col("tab")).alias("table_name"), "id", "part"), rewritten
+
+
+def surplus_by_arrival(df: DataFrame, copies: Copies, cut: Column, hot_rows: int = HOT_ROWS) -> DataFrame:
+    """The surplus rows of one table that holds both sides, as one column ``id``."""
+    return surplus_of_tables({"": (df, copies, cut)}, None, hot_rows)[0].select("id")
 
 
 class OnceStore:
@@ -175,15 +197,19 @@ class OnceStore:
             self.index.replace(self._entries(rows), set(self.rows.partitions()) | set(self.index.partitions()))
 
 
-def forecast_copies() -> Copies:
-    return Copies("source_event_id", ("model", "location_id", "init_time", "valid_time", "variable"), "inserted_at", "forecast_id", F.to_date("init_time"))
+def forecast_copies(period: str = "day") -> Copies:
+    return Copies("source_event_id", ("model", "location_id", "init_time", "valid_time", "variable"), "inserted_at", "forecast_id", F.to_date(F.date_trunc(period, "init_time")))
 
 
-def observation_copies() -> Copies:
-    return Copies("source_event_id", ("station", "observed_at", "variable"), "inserted_at", "observation_id", F.to_date("observed_at"))
+def observation_copies(period: str = "day") -> Copies:
+    return Copies("source_event_id", ("station", "observed_at", "variable"), "inserted_at", "observation_id", F.to_date(F.date_trunc(period, "observed_at")))
+
+
+#: Offsets of a topic partition that share a partition of the history: a late copy touches one such stretch, not the topic's past.
+OFFSETS = 500
 
 
 def dead_letter_copies() -> Copies:
     """Dead letters have no hexadecimal id: topic, partition and offset identify the message."""
-    return Copies("source_topic", ("source_partition", "source_offset"), "failed_at", "dlq_id", F.concat_ws("/", F.col("source_topic"), F.col("source_partition").cast("string")), hexadecimal=False)
-
+    stretch = F.concat_ws("_", F.col("source_topic"), F.col("source_partition").cast("string"), F.floor(F.col("source_offset") / OFFSETS).cast("string"))
+    return Copies("source_topic", ("source_partition", "source_offset"), "failed_at", "dlq_id", stretch, hexadecimal=False)

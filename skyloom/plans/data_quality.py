@@ -53,12 +53,24 @@ def _latest_day(df: DataFrame, arrival: str):
     return F.lit(top).cast("timestamp")
 
 
-def p5_found(spark: SparkSession, d: str) -> DataFrame:
+def _surplus(spark: SparkSession, d: str) -> tuple[DataFrame, list[str], list[str]]:
     tables = {}
-    for name, copies in (("forecast", once.forecast_copies()), ("observation", once.observation_copies()), ("dlq_record", once.dead_letter_copies())):
+    for name, copies in (("forecast", once.forecast_copies("week")), ("observation", once.observation_copies("week")), ("dlq_record", once.dead_letter_copies())):
         df = table(spark, d, name)
         tables[name] = (df, copies, _latest_day(df, copies.arrival))
-    return once.surplus_of_tables(tables).select("table_name", F.col("id").cast("bigint").alias("row_id"))
+    return *once.surplus_of_tables(tables), list(tables)
+
+
+def p5_found(spark: SparkSession, d: str) -> DataFrame:
+    return _surplus(spark, d)[0].select("table_name", F.col("id").cast("bigint").alias("row_id"))
+
+
+def p5_rewritten(spark: SparkSession, d: str) -> DataFrame:
+    """The partitions that the last day's messages rewrote, with their surplus rows; all others kept their files."""
+    found, rewritten, names = _surplus(spark, d)
+    r = spark.createDataFrame([(names[int(x.split("_", 1)[0])], x) for x in rewritten], "table_name string, part string")
+    n = found.groupBy("table_name", "part").agg(F.count(F.lit(1)).alias("surplus"))
+    return r.join(n, ["table_name", "part"], "left").select("table_name", F.expr("substring(part, 3)").alias("part"), F.coalesce("surplus", F.lit(0)).cast("bigint").alias("surplus"))
 
 
 def p3_found(spark: SparkSession, d: str) -> DataFrame:
@@ -77,7 +89,7 @@ def p7_found(spark: SparkSession, d: str) -> DataFrame:
     return o.select(F.lit("observation").alias("table_name"), F.col("id").alias("row_id")).unionByName(f.select(F.lit("forecast").alias("table_name"), F.col("id").alias("row_id")))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_totals, p2_found, p2_hourly, p3_found, p3_values, p4_found, p4_grid, p5_found, p7_found)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_totals, p2_found, p2_hourly, p3_found, p3_values, p4_found, p4_grid, p5_found, p5_rewritten, p7_found)}
 
 _DAILY = """
 WITH ranked AS (
@@ -191,6 +203,18 @@ SQL = {
       round(CASE WHEN w * wxx - wx * wx > 1e-6 * w * w THEN (wxx * wv - wx * wxv) / (w * wxx - wx * wx) WHEN w > 0 THEN wv / w END, 3) AS value,
       round(CASE WHEN ww > 0 THEN w * w / ww ELSE 0.0 END, 4) AS support, CAST(coalesce(n, 0) AS BIGINT) AS n_in_slot, coalesce(n, 0) = 0 AS missing
     FROM grid g LEFT JOIN sums s USING (station, variable, h)""",
+    "p5_rewritten": """
+    WITH u AS (
+      SELECT 'forecast' AS table_name, right(regexp_replace(lower(source_event_id), '[^0-9a-f]', '', 'g'), 64) AS i, strftime(date_trunc('week', init_time AT TIME ZONE 'UTC'), '%Y-%m-%d') AS part,
+             inserted_at >= (SELECT date_trunc('day', max(inserted_at)) FROM forecast) AS new,
+             row_number() OVER (PARTITION BY i, model, location_id, init_time, valid_time, variable ORDER BY inserted_at NULLS FIRST, forecast_id) AS rn FROM forecast WHERE source_event_id IS NOT NULL
+      UNION ALL SELECT 'observation', right(regexp_replace(lower(source_event_id), '[^0-9a-f]', '', 'g'), 64) AS i, strftime(date_trunc('week', observed_at AT TIME ZONE 'UTC'), '%Y-%m-%d'), inserted_at >= (SELECT date_trunc('day', max(inserted_at)) FROM observation),
+             row_number() OVER (PARTITION BY i, station, observed_at, variable ORDER BY inserted_at NULLS FIRST, observation_id) FROM observation WHERE source_event_id IS NOT NULL
+      UNION ALL SELECT 'dlq_record', source_topic || '|' || source_partition || '|' || source_offset AS i, source_topic || '_' || source_partition || '_' || (source_offset // 500), failed_at >= (SELECT date_trunc('day', max(failed_at)) FROM dlq_record),
+             row_number() OVER (PARTITION BY i ORDER BY failed_at NULLS FIRST, dlq_id) FROM dlq_record WHERE source_topic IS NOT NULL),
+    n AS (SELECT DISTINCT table_name, i FROM u WHERE new),
+    a AS (SELECT table_name, part FROM u WHERE new UNION SELECT u.table_name, u.part FROM u JOIN n USING (table_name, i) WHERE NOT u.new)
+    SELECT table_name, part, count(*) FILTER (WHERE rn > 1) AS surplus FROM a JOIN u USING (table_name, part) GROUP BY ALL""",
     "p5_found": """
     WITH f AS (SELECT forecast_id AS id, row_number() OVER (PARTITION BY right(regexp_replace(lower(source_event_id), '[^0-9a-f]', '', 'g'), 64), model, location_id, init_time, valid_time, variable
                  ORDER BY inserted_at NULLS FIRST, forecast_id) AS rn FROM forecast WHERE source_event_id IS NOT NULL),

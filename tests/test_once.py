@@ -43,12 +43,32 @@ def test_surplus_against_brute_force(spark):
     for seed in (1, 2):
         data = sample(seed)
         df = rows(spark, OBS, data)
-        for cut in (-1, 30):
-            for hot in (once.HOT_ROWS, 5):  # 5: every identifier is hot and goes through the salts
-                s = once.surplus_by_arrival(df, once.observation_copies(), F.lit(at(cut)), hot)
-                assert [r[0] for r in tuples(s, "id")] == brute(data)
-        s = once.surplus_by_arrival(with_clashes(df), once.observation_copies(), F.lit(at(30)))
-        assert [r[0] for r in tuples(s, "id")] == brute(data)
+        for cut, hot in ((-1, once.HOT_ROWS), (30, once.HOT_ROWS), (30, 5)):  # 5: every identifier is hot and goes through the salts
+            s = once.surplus_by_arrival(df, once.observation_copies(), F.lit(at(cut)), hot)
+            assert [r[0] for r in tuples(s, "id")] == brute(data)
+    s = once.surplus_by_arrival(with_clashes(df), once.observation_copies(), F.lit(at(30)))
+    assert [r[0] for r in tuples(s, "id")] == brute(data)
+
+
+def test_a_batch_rewrites_only_the_partitions_it_affects(spark, tmp_path):
+    c = once.observation_copies()
+    log = once.SurplusLedger(spark, str(tmp_path / "l"))
+    side = lambda data: c.rows(rows(spark, OBS, data)).withColumn("tab", F.lit(0))
+    old = side([obs(1, 0, 1.0, event=A), obs(2, 0, 1.0, event=A, seen=3), obs(3, 30, 1.0, event=B), obs(4, 60, 1.0, event=B)])
+    index = log.index(old)
+    log.load(old, index)
+    assert tuples(log.read(), "id", "part") == [(2, "2025-02-01")]
+    before = log.table.manifest()["parts"]
+    # a copy of 3; its identifier is also in another day's partition
+    new = side([obs(5, 30, 1.0, event=f"0x{B}", seen=90)])
+    assert log.merge(old, index, new) == ["2025-02-02", "2025-02-03"]
+    assert tuples(log.read(), "id", "part") == [(2, "2025-02-01"), (5, "2025-02-02")]
+    assert log.table.manifest()["parts"]["2025-02-01"] == before["2025-02-01"]
+    assert log.merge(old, index, new.limit(0)) == []
+    # without its entries in the index a late copy is not seen: the index decides what is combined
+    none = once.SurplusLedger(spark, str(tmp_path / "n"))
+    none.load(old, index)
+    assert none.merge(old, index.limit(0), side([obs(6, 99, 1.0, event=A)])) == ["2025-02-05"]
 
 
 def test_empty_tables(spark):
