@@ -133,7 +133,8 @@ def mix(documents: DataFrame, target: DataFrame, total_tokens: float | None = No
     drawn = pages.join(F.broadcast(plan), "source").withColumn("h", h).withColumn("g", F.pmod(F.col("h"), F.col("groups"))).drop("groups")
     schema = "doc_id bigint, source string, tokens bigint, base int, p double, h bigint, g bigint"
     drawn = drawn.select("doc_id", "source", "tokens", "base", "p", "h", "g")
-    flown = drawn.groupBy("source", "g").applyInPandas(lambda d: _fly(d, False), schema)
+    # kept, because the decided and the undecided pages go different ways
+    flown = drawn.groupBy("source", "g").applyInPandas(lambda d: _fly(d, False), schema).checkpoint()
     undecided = (F.col("p") > 0) & (F.col("p") < 1)
     landed = flown.where(undecided).groupBy("source").applyInPandas(lambda d: _fly(d, True), schema)
     uses = (F.col("base") + F.round("p").cast("int")).alias("uses")
