@@ -126,5 +126,5 @@ def backfill_window(end: str, days: int | None = None, start: str | None = None)
 
 
 def weighted_calls(locations: int, models: int, columns: int, days: int) -> float:
-    """How many ordinary calls a backfill counts as: ten columns and fourteen days make one."""
-    return locations * models * max(1.0, columns / 10) * max(1.0, days / 14)
+    """How many ordinary calls a backfill counts as: ten columns and fourteen days make one, in fractions too."""
+    return locations * models * (columns / 10) * (days / 14)

@@ -88,6 +88,7 @@ def sheet(row: dict, as_of: str, s: Settings) -> dict:
         "location_id": row["location_id"], "as_of": as_of, "models": models,
         "summaries": [{"model": x["model"], "variable": x["variable"], "min": one(x["min"]), "mean": one(x["mean"]), "max": one(x["max"])} for x in row["models"]],
         "spread": spreads, "accuracy": [{"model": x["model"], "mae": one(x["mae"]), "n": x["n"]} for x in row.get("accuracy") or []],
+        "most_accurate_model": next((x["model"] for x in row.get("accuracy") or [] if x["mae"] is not None), None),
         "alerts": row.get("alerts") or [], "confidence": confidence(t.get("mean"), len(models), s),
     }
 
@@ -105,25 +106,20 @@ def cache_key(sheet_hash_: str, prompt_version: str, model: str) -> str:
 
 
 # ---- numbers in texts ------------------------------------------------------------------------------------------------------
-_TOKEN = re.compile(r"\d[\d,]*(?:\.\d+)*|\.\d+")
+_TOKEN = re.compile(r"\.?\d+(?:(?:,(?=\d{3}(?!\d))|\.)\d+)*")  # a comma before exactly three digits groups thousands
 
 
 def numbers_in(text: str | None) -> list[Decimal]:
-    """The numbers of a text. A sign counts only where no word or number stands before it (``a-1``, ``20-24`` are not negative);
-    commas group thousands; a leading dot is a fraction; of a run with several dots each part is a number."""
+    """The numbers of a text. A minus counts unless it joins the number to a word, a number, a dot or an underscore (``a-1``,
+    ``20-24``); commas group thousands; a leading dot is a fraction; of a run with several dots each part is a number."""
     out = []
     for m in _TOKEN.finditer(text or ""):
-        raw, at = m.group().rstrip(","), m.start()
-        before = text[at - 1] if at else ""
-        signed = before in "-−" and (at < 2 or not (text[at - 2].isalnum() or text[at - 2] in ".,)")) if before else False
-        dots = raw.count(".")
-        parts = raw.split(".") if dots > 1 else [raw]
-        for i, p in enumerate(parts):
-            p = p.replace(",", "") if re.fullmatch(r"\d{1,3}(,\d{3})+(\.\d+)?", p) else p
-            for q in p.split(","):
-                if q and q != ".":
-                    d = Decimal("0" + q if q.startswith(".") else q)
-                    out.append(-d if signed and i == 0 else d)
+        at = m.start()
+        joiner = text[at - 2] if at > 1 else " "
+        signed = at > 0 and text[at - 1] in "-−" and not (joiner.isalnum() or joiner in "._")
+        raw = m.group().replace(",", "")
+        parts = [raw] if raw.count(".") <= 1 else [p for p in raw.split(".") if p]
+        out += [Decimal(("-" if signed and not i else "") + ("0" if p[0] == "." else "") + p) for i, p in enumerate(parts)]
     return out
 
 
@@ -179,12 +175,15 @@ def ungrounded(text: str, facts: dict) -> list[str]:
 
 
 def check_grounding(briefing: dict, facts: dict) -> list[str]:
-    """Failures of a written briefing: numbers, stated confidence, named model."""
+    """Failures of a written briefing: numbers, stated confidence, named model (the most accurate one where the facts know it)."""
     text = " ".join(str(v) for k, v in briefing.items() if k not in ("confidence", "best_model"))
     out = ungrounded(text, facts)
     if briefing.get("confidence") != facts.get("confidence"):
         out.append("confidence differs from the facts")
-    if (m := briefing.get("best_model")) is not None and m not in facts.get("models", ()):
+    m, best = briefing.get("best_model"), facts.get("most_accurate_model")
+    if best is not None and m != best:
+        out.append(f"not the most accurate model: {m}")
+    elif best is None and m is not None and m not in facts.get("models", ()):
         out.append(f"model not among the facts: {m}")
     return out
 

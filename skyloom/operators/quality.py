@@ -159,8 +159,9 @@ def validate(df: DataFrame, contract: Contract, *, unique: bool = False) -> Data
 
 
 def merge_results(results: DataFrame) -> DataFrame:
-    """Results of parts of a table as one: rows add up, the first example in order of text stays."""
-    return results.groupBy("table_name", "check_name", "severity").agg(F.sum("rows_checked").alias("rows_checked"), F.sum("rows_failed").alias("rows_failed"), F.min("detail").alias("detail")).withColumn("passed", F.col("rows_failed") == 0)
+    """Results of parts of a table as one, by check and (where there is one) subject: rows add up, the first example in order of text stays."""
+    key = [c for c in ("table_name", "check_name", "severity", "subject") if c in results.columns]
+    return results.groupBy(*key).agg(F.sum("rows_checked").alias("rows_checked"), F.sum("rows_failed").alias("rows_failed"), F.min("detail").alias("detail")).withColumn("passed", F.col("rows_failed") == 0)
 
 
 def blocked_rows(df: DataFrame, contract: Contract) -> Column:

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -42,10 +43,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one is set only where it is unset (tests)."""
+    """The folder all executors share: ``spark.checkpoint.dir``; a temporary one is set only where it is unset and the master is this machine."""
     sc = spark.sparkContext
     got = sc.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not got:
+        if not re.fullmatch(r"local(\[[^,\]]*(,\d+)?\])?", sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
         got = os.path.join(tempfile.gettempdir(), "skyloom-checkpoints")
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(got)

@@ -2,16 +2,24 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from skyloom import schemas
 
+#: Topic -> partitions and days of retention.
 TOPICS = {
-    "weather.forecast.raw.v1": 6, "weather.observation.raw.v1": 3, "weather.alerts.v1": 3, "weather.briefings.v1": 3, "weather.dlq.v1": 3,
+    "weather.forecast.raw.v1": (6, 7), "weather.observation.raw.v1": (6, 7), "weather.dlq.v1": (3, 30), "weather.alert.v1": (3, 14), "weather.briefing.v1": (3, 14),
 }
 
 
+def missing_topics(existing: Iterable[str]) -> list[tuple[str, int, int]]:
+    """Topics to create, with partitions and retention in milliseconds; those that exist stay as they are."""
+    return [(t, n, days * 86_400_000) for t, (n, days) in TOPICS.items() if t not in set(existing)]
+
+
 def has_kafka(spark: SparkSession) -> bool:
     try:
         spark._jvm.java.lang.Class.forName("org.apache.spark.sql.kafka010.KafkaSourceProvider")
@@ -62,9 +70,10 @@ def find_event(bronze: DataFrame, event_id: str) -> DataFrame:
 
 def sample_event_id(bronze: DataFrame) -> str | None:
     """The first event id that parses in the newest file."""
-    r = bronze.withColumn("event_id", F.get_json_object(F.col("value").cast("string"), "$.event_id")).where("event_id is not null")
-    top = r.orderBy(F.col("seq.dt").desc(), F.col("seq.file").desc(), F.col("seq.kafka_partition"), F.col("seq.kafka_offset")).select("event_id").first()
-    return top and top[0]
+    newest = bronze.agg(F.max(F.struct("seq.dt", "seq.file")).alias("m"))  # names only: no message is read for it
+    last = bronze.where(F.struct("seq.dt", "seq.file") == newest.scalar())
+    r = last.select("seq", F.get_json_object(F.col("value").cast("string"), "$.event_id").alias("event_id")).where("event_id is not null")
+    return r.agg(F.min_by("event_id", F.struct("seq.kafka_partition", "seq.kafka_offset"))).first()[0]
 
 
 def dead_letters(bad: DataFrame, now) -> DataFrame:

@@ -105,6 +105,7 @@ def detect(tables: Tables, batch: DataFrame, location: DataFrame, settings: Sett
     spread = rules.as_alerts(rules.model_spread(runs.join(places, "location_id", "left_semi"), settings, high), "model_spread")
     obs, _ = parse.split_observations(batch.where(parse.event_type(F.col("value")) == "observation.raw"), location, settings.max_elevation_m)
     fresh, _ = quality.gate(obs, quality.observation_contract(settings))
+    fresh = upsert.keep_last(fresh, schemas.OBSERVATION_KEY, ["kafka_timestamp_ms", "kafka_partition", "kafka_offset"])  # of an alert the last one counts
     miss = rules.as_alerts(rules.observation_miss(fresh, runs, location, settings, high), "observation_miss")
     return change.unionByName(spread).unionByName(miss)
 

@@ -321,6 +321,9 @@ def test_numbers_in_text():
     n = lambda t: [str(x) for x in briefing.numbers_in(t)]
     assert n("between -3.5 and 1,234.5, .5 or a-1, 20-24") == ["-3.5", "1234.5", "0.5", "1", "20", "24"]
     assert n("version 1.2.3 and −4") == ["1", "2", "3", "-4"] and n("") == [] and n(None) == []
+    assert n("12345,678 and (3)-5, x_-4") == ["12345678", "3", "-5", "4"]
+    assert n("ecmwf_ifs025 and temperature_2m over 48 hours; day-1 error (-2.0)") == ["025", "2", "48", "1", "-2.0"]
+    assert n("version 3.14.15, near 1,013 hPa") == ["3", "14", "15", "1013"]
 
 
 def test_grounding():
@@ -329,6 +332,10 @@ def test_grounding():
     assert briefing.check_grounding(ok, facts) == []
     assert len(briefing.check_grounding(dict(ok, summary="2.4 or 99"), facts)) == 2
     assert len(briefing.check_grounding(dict(ok, confidence="low", best_model="m9"), facts)) == 2
+    known = dict(facts, models=["aurel_x1", "m9"], most_accurate_model="m9")
+    assert briefing.check_grounding(ok, known) == ["not the most accurate model: aurel_x1"] and briefing.check_grounding(dict(ok, best_model="m9"), known) == []
+    row = {"location_id": "p", "models": [{"model": m, "variable": "temperature_2m", "min": 1.0, "mean": 2.0, "max": 3.0} for m in ("a", "b")], "accuracy": [{"mae": 1.0, "model": "b", "n": 5}, {"mae": 2.0, "model": "a", "n": 5}]}
+    assert briefing.sheet(row, "2025-02-01", Settings())["most_accurate_model"] == "b"
     assert briefing.sheet_hash({"a": 1, "b": 2}) == briefing.sheet_hash({"b": 2, "a": 1})
     assert briefing.values_in({"x": [Decimal(1), True, None, "2"]}) is not None
 

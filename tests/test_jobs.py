@@ -63,4 +63,4 @@ def test_load_accounting():
     assert audit.backfill_window("2025-03-10", days=3) == ("2025-03-08", "2025-03-10")
     with pytest.raises(ValueError):
         audit.backfill_window("2025-03-10", start="2025-03-11")
-    assert audit.weighted_calls(10, 2, 20, 28) == 80
+    assert audit.weighted_calls(10, 2, 20, 28) == 80 and audit.weighted_calls(2, 1, 5, 7) == 0.5

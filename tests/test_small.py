@@ -23,8 +23,8 @@ def test_latest_alert_per_location(spark):
 
 def test_messages_go_to_the_lake_without_kafka(spark, tmp_path):
     df = spark.createDataFrame([(datetime(2025, 2, 1).date(), 0, 7, 1000, b"k", b"v")], "dt date, kafka_partition int, kafka_offset bigint, kafka_timestamp_ms bigint, key binary, value binary")
-    bronze.write_messages(df, "weather.alerts.v1", lake=f"{tmp_path}/lake")
-    assert [bytes(r["value"]) for r in bronze.read_bronze(spark, f"{tmp_path}/lake", "weather.alerts.v1").collect()] == [b"v"]
+    bronze.write_messages(df, "weather.alert.v1", lake=f"{tmp_path}/lake")
+    assert [bytes(r["value"]) for r in bronze.read_bronze(spark, f"{tmp_path}/lake", "weather.alert.v1").collect()] == [b"v"]
 
 
 def test_files_are_replaced_whole(spark, tmp_path):
