@@ -146,7 +146,7 @@ def asof_nearest_verification(spark, d):
     return verification(spark, d).select("model", "location_id", ts("init_time").alias("init_time"), ts("valid_time").alias("valid_time"), "variable", "lead_hours", F.col("lead_day").cast("int").alias("lead_day"), "forecast_value", "observed_value", ts("observed_at").alias("observed_at"), "obs_offset_seconds", r6("error").alias("error"))
 
 
-@query(f"WITH {_VER} SELECT forecast_id FROM sf WHERE {_V} AND lead_hours >= 1 AND forecast_id NOT IN (SELECT forecast_id FROM ver)")
+@query(f"WITH {_VER} SELECT forecast_id FROM sf WHERE {_V} AND lead_hours >= 1 AND NOT EXISTS (SELECT 1 FROM ver WHERE ver.forecast_id = sf.forecast_id)")
 def asof_unmatched_forecasts(spark, d):
     return asof.unmatched(silver_forecast(spark, d), verification(spark, d)).select("forecast_id")
 
@@ -488,20 +488,6 @@ def json_payloads(spark, d):
     return q.withColumn("p", t).where(F.col("p._corrupt").isNull() & F.col("original_payload").isNotNull() & (F.trim("original_payload") != "")).select("dlq_id", "p.event_id", "p.event_type", "p.payload.station", "p.payload.model")
 
 
-def _melted(df: DataFrame) -> DataFrame:
-    fields = F.array(*[F.struct(F.lit(v).alias("variable"), F.col(f"hourly.{v}").alias("xs")) for v in parse.FORECAST_SI])
-    h = df.select("response_id", F.col("hourly.time").alias("times"), F.explode(fields).alias("f")).select("response_id", "f.variable", "f.xs", F.posexplode("times").alias("pos", "t"))
-    v = F.get("xs", F.col("pos"))
-    return h.select("response_id", "variable", F.col("pos").cast("bigint").alias("pos"), parse.instant(F.col("t")).alias("valid_time"), parse.linear(F.when(~F.isnan(v), v), F.col("variable"), parse.FORECAST_SI).alias("value"))
-
-
-@query(" UNION ALL ".join(
-    f"SELECT response_id, '{v}' AS variable, CAST(i - 1 AS BIGINT) AS pos, strftime(strptime(hourly.time[i], '%Y-%m-%dT%H:%M'), '%Y-%m-%d %H:%M:%S') AS valid_time, round(CASE WHEN isnan(hourly.{v}[i]) THEN NULL ELSE hourly.{v}[i] * {k!r} + {o!r} END, 6) AS value FROM (SELECT *, unnest(range(1, len(hourly.time) + 1)) AS i FROM open_meteo_forecast_response)"
-    for v, (k, o) in parse.FORECAST_SI.items()))
-def melt_hourly(spark, d):
-    return _melted(table(spark, d, "open_meteo_forecast_response")).withColumns({"valid_time": ts("valid_time"), "value": F.round("value", 6)})
-
-
 _NUM = "CASE WHEN isnan(try_cast(trim({0}) AS DOUBLE)) THEN NULL ELSE try_cast(trim({0}) AS DOUBLE) END"
 
 
@@ -587,24 +573,44 @@ def numbers_in_documents(spark, d):
 
 
 # ---- streams ---------------------------------------------------------------------------------------------------------------
-def _folder(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex[:10]}"
+#: Files into which the log is cut for the stream: each is a micro-batch.
+STREAM_FILES = 3
 
 
-@query(f"SELECT * EXCLUDE n_revisions FROM ({_HOURLY})")
-def stream_late_events(spark, d):
-    """The late-event operator as a stream over the observation files, drained; equals the batch form where rows come in order."""
+def _streamed(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
+    """The observation log as a stream of several micro-batches in order of arrival, drained: the hourly figures and the late rows."""
+    from skyloom.sources.files import Files
     from skyloom.sources.versioned import VersionedTable
     from skyloom.streaming import late_stream
 
-    t = table(spark, d, "observation")
-    # a glob, so that the table may be one file or a folder of files
-    source = spark.readStream.schema(t.schema).parquet(f"{d}/observation.{{parquet}}")
-    root = _folder(spark, "late")
-    accepted = VersionedTable(spark, f"{root}/accepted", F.to_date("observed_at"))
-    dropped = VersionedTable(spark, f"{root}/dropped", F.to_date("observed_at"))
-    hours = VersionedTable(spark, f"{root}/hours", F.to_date("hour"), late_stream.HOURS)
-    q = late_stream.start(source, accepted, dropped, f"{root}/checkpoint", hours=hours)
-    q.awaitTermination()
-    h = hours.read()
+    t, root = table(spark, d, "observation"), f"{shared_dir(spark)}/late-{uuid.uuid4().hex[:10]}"
+    # the file source reads the oldest file first, so the parts are written one after the other
+    us = F.unix_micros("inserted_at")
+    cuts = t.select(us.alias("us")).approxQuantile("us", [i / STREAM_FILES for i in range(1, STREAM_FILES)], 0.01)
+    bounds = [None, *map(int, cuts), None]
+    for lo, hi in zip(bounds, bounds[1:]):
+        side = F.lit(True) if lo is None else us >= lo
+        side = side if hi is None else side & (us < hi) if lo is not None else us < hi
+        t.where(side).coalesce(1).write.mode("append").parquet(f"{root}/log")
+    source = spark.readStream.schema(t.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/log")
+    accepted = VersionedTable(spark, f"{root}/accepted", F.to_date(F.date_trunc("month", "observed_at")))
+    dropped = VersionedTable(spark, f"{root}/dropped", F.to_date(F.date_trunc("month", "observed_at")))
+    hours = VersionedTable(spark, f"{root}/hours", F.to_date(F.date_trunc("month", "hour")), late_stream.HOURS)
+    late_stream.start(source, accepted, dropped, f"{root}/checkpoint", hours=hours).awaitTermination()
+    late = dropped.read()
+    out = hours.read().checkpoint(), (spark.createDataFrame([], "observation_id bigint") if late is None else late.select("observation_id")).checkpoint()
+    Files(spark).delete(root)
+    return out
+
+
+@query(f"SELECT * EXCLUDE n_revisions FROM ({_HOURLY})")
+def stream_late_events(spark, d):
+    """The figures that the stream of late events upserts hour by hour; they equal those of the batch form."""
+    h = _streamed(spark, d)[0]
     return h.select("station", "variable", F.date_format("hour", "yyyy-MM-dd HH").alias("hour"), "n_reports", "n_values", "min_value", "max_value", F.round("mean_value", 6).alias("mean_value"))
+
+
+@query(_QUALITY_SQL["p2_found"])
+def stream_too_late(spark, d):
+    """The rows that the stream of late events sets aside."""
+    return _streamed(spark, d)[1]

@@ -65,8 +65,10 @@ def _quarantined(batch: DataFrame, blocked: DataFrame) -> DataFrame:
 def load_forecasts(tables: Tables, batch: DataFrame, settings: Settings, at: datetime) -> dict[str, int]:
     """One micro-batch of the forecast topic into its table; one bad row sets the whole message aside, the rest loads."""
     good, bad = parse.split_forecasts(batch)
+    good = good.checkpoint()  # messages are parsed once for the gate, the dead letters and the table
     clean, blocked = quality.gate(good, quality.forecast_contract(settings))
-    last = upsert.keep_last(clean, schemas.FORECAST_KEY, ["kafka_timestamp_ms", "kafka_partition", "kafka_offset"]).select(*[c for c in schemas.FORECAST.names if c not in ("inserted_at", "updated_at")])
+    last = upsert.keep_last(clean, schemas.FORECAST_KEY, ["kafka_timestamp_ms", "kafka_partition", "kafka_offset"])
+    last = last.select(*[c for c in schemas.FORECAST.names if c not in ("inserted_at", "updated_at")]).checkpoint()
     letters = bad.unionByName(_quarantined(batch, blocked))
     n = write_dead_letters(tables, letters, at)
     values = ("value", "lead_hours", "ingestion_mode", "source_event_id")
@@ -77,8 +79,10 @@ def load_forecasts(tables: Tables, batch: DataFrame, settings: Settings, at: dat
 def load_observations(tables: Tables, batch: DataFrame, stations: DataFrame, settings: Settings, at: datetime) -> dict[str, int]:
     """One micro-batch of the observation topic; a correction wins over an original whichever comes first."""
     good, bad = parse.split_observations(batch, stations, settings.max_elevation_m)
+    good = good.checkpoint()
     clean, blocked = quality.gate(good, quality.observation_contract(settings))
-    last = upsert.last_observations(clean, ["kafka_timestamp_ms", "kafka_partition", "kafka_offset"]).select(*[c for c in schemas.OBSERVATION.names if c not in ("inserted_at", "updated_at")])
+    last = upsert.last_observations(clean, ["kafka_timestamp_ms", "kafka_partition", "kafka_offset"])
+    last = last.select(*[c for c in schemas.OBSERVATION.names if c not in ("inserted_at", "updated_at")]).checkpoint()
     n = write_dead_letters(tables, bad.unionByName(_quarantined(batch, blocked)), at)
     values = ("value", "raw_text", "is_corrected", "ingestion_mode", "source_event_id")
     done = upsert.upsert(tables.observation, last, schemas.OBSERVATION_KEY, values, at, guard=upsert.correction_guard(), created=("inserted_at",), touched=("updated_at",))
@@ -93,20 +97,33 @@ def start_observations(stream: DataFrame, tables: Tables, stations: DataFrame, c
     return start(stream, lambda b, _: load_observations(tables, b, stations, settings or Settings(), clock()), checkpoint, drain)
 
 
+def _days(tables: Tables, rows: DataFrame, days) -> DataFrame:
+    """The forecast table's rows of the given days (an array of dates a row): other partitions are not opened."""
+    want = [str(r[0]) for r in rows.select(F.explode(days)).distinct().collect()]  # days, not rows
+    return tables.forecast.read(want).withColumn("forecast_id", F.lit(0))
+
+
 def detect(tables: Tables, batch: DataFrame, location: DataFrame, settings: Settings) -> DataFrame:
-    """Alerts that follow from a batch of live messages, looked up in the forecast table: the detector keeps no state of its own."""
+    """Alerts that follow from a batch of live messages, looked up in the forecast table: the detector keeps no state of its own.
+
+    Of the table only the days are read that the rules look at: those of the horizons of the batch's runs, and those of its
+    observations; of the runs only those of the batch's places are numbered. A run without an hour in these days is no previous run.
+    """
     good, _ = parse.split_forecasts(batch.where(parse.event_type(F.col("value")) == "forecast.raw"))
     clean, _ = quality.gate(good, quality.forecast_contract(settings))
-    touched = clean.where("ingestion_mode = 'live'").select("model", "location_id", "init_time").distinct()
-    runs = rules.live_runs(tables.forecast.read().withColumn("forecast_id", F.lit(0)))
+    touched = clean.where("ingestion_mode = 'live'").select("model", "location_id", "init_time").distinct().checkpoint()
+    places = touched.select("location_id").distinct()
+    runs = rules.live_runs(_days(tables, touched, F.sequence(F.to_date(F.col("init_time") - F.make_dt_interval(hours=F.lit(settings.cadence_hours))), F.to_date(F.col("init_time") + F.make_dt_interval(hours=F.lit(settings.horizon_hours))))).join(places, "location_id", "left_semi"))
     high = rules.high_places(location, settings)
     change = rules.as_alerts(rules.run_change(runs, settings).join(touched, ["model", "location_id", "init_time"], "left_semi"), "run_change")
-    places = touched.select("location_id").distinct()
-    spread = rules.as_alerts(rules.model_spread(runs.join(places, "location_id", "left_semi"), settings, high), "model_spread")
+    spread = rules.as_alerts(rules.model_spread(runs, settings, high), "model_spread")
     obs, _ = parse.split_observations(batch.where(parse.event_type(F.col("value")) == "observation.raw"), location, settings.max_elevation_m)
     fresh, _ = quality.gate(obs, quality.observation_contract(settings))
     fresh = upsert.keep_last(fresh, schemas.OBSERVATION_KEY, ["kafka_timestamp_ms", "kafka_partition", "kafka_offset"])  # of an alert the last one counts
-    miss = rules.as_alerts(rules.observation_miss(fresh, runs, location, settings, high), "observation_miss")
+    fresh = fresh.checkpoint()
+    around = F.sequence(F.to_date(F.col("observed_at") - F.make_dt_interval(hours=F.lit(1))), F.to_date(F.col("observed_at") + F.make_dt_interval(hours=F.lit(1))))
+    near = rules.live_runs(_days(tables, fresh, around))
+    miss = rules.as_alerts(rules.observation_miss(fresh, near, location, settings, high), "observation_miss")
     return change.unionByName(spread).unionByName(miss)
 
 

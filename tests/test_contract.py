@@ -35,9 +35,9 @@ def compare(spark, name, query, sql):
 
 @pytest.mark.skipif(not DATA.exists(), reason="no test data")
 def test_queries_equal_their_sql(spark):
-    from skyloom.plans import data_quality, verification
+    from skyloom.plans import data_quality, loading, verification
 
-    for m in (data_quality, verification):
+    for m in (data_quality, verification, loading):
         for name, f in m.QUERIES.items():
             compare(spark, name, f, m.SQL.get(name))
 
