@@ -44,7 +44,7 @@ def p4_found(spark: SparkSession, d: str) -> DataFrame:
 
 def p4_grid(spark: SparkSession, d: str) -> DataFrame:
     g = regular_grid.hourly_grid(table(spark, d, "observation"))
-    return g.select("station", "variable", F.date_format("slot", "yyyy-MM-dd HH").alias("slot"), F.round("value", 3).alias("value"), F.round("support", 4).alias("support"), "n_in_slot", "missing")
+    return g.select("station", "variable", F.date_format("slot", "yyyy-MM-dd HH").alias("slot"), F.round("value", 3).alias("value"), F.round("support", 4).alias("support"), "n_in_slot", "missing", "insufficient")
 
 
 def _latest_day(df: DataFrame, arrival: str):
@@ -79,7 +79,8 @@ def p3_found(spark: SparkSession, d: str) -> DataFrame:
 
 
 def p3_values(spark: SparkSession, d: str) -> DataFrame:
-    return units.converted(table(spark, d, "iem_asos_sample"), table(spark, d, "open_meteo_forecast_response"))
+    c = units.converted(table(spark, d, "iem_asos_sample"), table(spark, d, "open_meteo_forecast_response"))
+    return c.withColumn("si_value", F.round("si_value", 6))
 
 
 def p7_found(spark: SparkSession, d: str) -> DataFrame:
@@ -166,6 +167,9 @@ _SPIKES = f"""SELECT '{{table}}' AS table_name, id AS row_id FROM (
   SELECT id FROM r WHERE bad OR EXISTS (SELECT 1 FROM spike x WHERE x.k = r.k AND x.t = r.t AND x.v = r.v)
   UNION SELECT id FROM runs JOIN stuck USING (k, run, v) WHERE {{stuck}})"""
 _WIND = "(?:^| )(?:[0-9]{3}|VRB)([0-9]{2,3})(?:G[0-9]{2,3})?(KT|MPS|KMH)\\b"
+_LEADING = "^[ ]*([-+]?(?:[0-9]+[.]?[0-9]*|[.][0-9]+))"
+_LISTED = "list_filter(hourly.{0}, lambda x: x IS NOT NULL AND NOT isnan(x))"
+_PRESSURE = "CASE WHEN {0} BETWEEN 25 AND 35 THEN 'inHg' WHEN {0} BETWEEN 2500 AND 3500 THEN 'inHg/100' WHEN {0} BETWEEN 850 AND 1100 THEN 'hPa' WHEN {0} BETWEEN 85 AND 110 THEN 'kPa' WHEN {0} BETWEEN 85000 AND 110000 THEN 'Pa' WHEN {0} BETWEEN 640 AND 830 THEN 'mmHg' ELSE '{1}' END"
 _NUMBERS = "len(list_filter(hourly.{0}, lambda x: x IS NOT NULL AND NOT isnan(x)))"
 
 SQL = {
@@ -178,6 +182,19 @@ SQL = {
       WHERE {_NUMBERS.format('wind_speed_10m')} > 0 AND lower(hourly_units['wind_speed_10m']) NOT IN ('km/h', 'kmh', 'km h-1')
     UNION ALL SELECT 'open_meteo_forecast_response', response_id, 'pressure_msl' FROM open_meteo_forecast_response
       WHERE {_NUMBERS.format('pressure_msl')} > 0 AND NOT list_avg(list_filter(hourly.pressure_msl, lambda x: x IS NOT NULL AND NOT isnan(x))) BETWEEN 900 AND 1100""",
+    "p3_values": f"""
+    WITH w AS (SELECT record_id, sknt AS cell, try_cast(regexp_extract(sknt, '{_LEADING}', 1) AS DOUBLE) AS x, try_cast(regexp_extract(metar, '{_WIND}', 1) AS DOUBLE) AS m, regexp_extract(metar, '{_WIND}', 2) AS u FROM iem_asos_sample),
+    a AS (SELECT record_id, try_cast(regexp_extract(alti, '{_LEADING}', 1) AS DOUBLE) AS x FROM iem_asos_sample),
+    o AS (SELECT response_id, hourly, regexp_replace(lower(hourly_units['wind_speed_10m']), '[ ._()]', '', 'g') AS label, list_avg({_LISTED.format('pressure_msl')}) AS p,
+      {_NUMBERS.format('wind_speed_10m')} AS nw, {_NUMBERS.format('pressure_msl')} AS np FROM open_meteo_forecast_response),
+    v AS (
+      SELECT 'iem_asos_sample' AS table_name, record_id, 'sknt' AS field_name, 0 AS pos, x, CASE WHEN regexp_matches(cell, '[0-9] ?(m/s|MPS)') THEN 'm/s' WHEN regexp_matches(cell, '[0-9] ?km/h') THEN 'km/h' WHEN regexp_matches(cell, '[0-9] ?mph') THEN 'mph'
+        WHEN x = m AND x > 0 AND u = 'MPS' THEN 'm/s' WHEN x = m AND x > 0 AND u = 'KMH' THEN 'km/h' ELSE 'kt' END AS unit FROM w WHERE x IS NOT NULL
+      UNION ALL SELECT 'iem_asos_sample', record_id, 'alti', 0, x, {_PRESSURE.format('x', 'inHg')} FROM a WHERE x IS NOT NULL
+      UNION ALL SELECT 'open_meteo_forecast_response', response_id, 'wind_speed_10m', i - 1, hourly.wind_speed_10m[i], CASE WHEN label IN ('m/s', 'ms-1', 'mps') THEN 'm/s' WHEN label IN ('kt', 'kn', 'kts', 'knots') THEN 'kt' WHEN label IN ('mph', 'mp/h') THEN 'mph' ELSE 'km/h' END
+        FROM (SELECT *, unnest(range(1, len(hourly.wind_speed_10m) + 1)) AS i FROM o WHERE nw > 0)
+      UNION ALL SELECT 'open_meteo_forecast_response', response_id, 'pressure_msl', i - 1, hourly.pressure_msl[i], {_PRESSURE.format('p', 'hPa')} FROM (SELECT *, unnest(range(1, len(hourly.pressure_msl) + 1)) AS i FROM o WHERE np > 0))
+    SELECT table_name, record_id, field_name, CAST(pos AS BIGINT) AS pos, unit, round(x * CASE unit {" ".join(f"WHEN '{k}' THEN {f!r}" for k, f in (units.WIND | units.PRESSURE).items())} END, 6) AS si_value FROM v WHERE x IS NOT NULL AND NOT isnan(x)""",
     "p7_found": " UNION ALL ".join(_SPIKES.format(table=t, id=i, series=k, time=c, stuck=s) for t, i, k, c, s in (
         ("observation", "observation_id", "station, variable", "observed_at", "times >= 6 AND v <> 0"),
         ("forecast", "forecast_id", "lower(trim(source_event_id)), variable, CASE WHEN ingestion_mode = 'backfill' THEN lead_hours END", "valid_time", "FALSE"))),
@@ -201,7 +218,8 @@ SQL = {
     "p4_grid": _GRID
     + """SELECT g.station, g.variable, strftime(make_timestamp(g.h * 3600000000), '%Y-%m-%d %H') AS slot,
       round(CASE WHEN w * wxx - wx * wx > 1e-6 * w * w THEN (wxx * wv - wx * wxv) / (w * wxx - wx * wx) WHEN w > 0 THEN wv / w END, 3) AS value,
-      round(CASE WHEN ww > 0 THEN w * w / ww ELSE 0.0 END, 4) AS support, CAST(coalesce(n, 0) AS BIGINT) AS n_in_slot, coalesce(n, 0) = 0 AS missing
+      round(CASE WHEN ww > 0 THEN w * w / ww ELSE 0.0 END, 4) AS support, CAST(coalesce(n, 0) AS BIGINT) AS n_in_slot, coalesce(n, 0) = 0 AS missing,
+      round(CASE WHEN ww > 0 THEN w * w / ww ELSE 0.0 END, 6) < 1.5 AS insufficient
     FROM grid g LEFT JOIN sums s USING (station, variable, h)""",
     "p5_rewritten": """
     WITH u AS (
