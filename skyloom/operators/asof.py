@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from skyloom.functions.columns import int_floor_div, lead_day, micros, number
+from skyloom.functions.columns import DAY_US, int_floor_div, lead_day, micros, number
 
 MINUTE_US = 60_000_000
 
@@ -15,28 +15,35 @@ def eligible(forecast: DataFrame, min_lead_hours: int = 1) -> DataFrame:
     return forecast.where(number("value").isNotNull() & (F.col("lead_hours") >= min_lead_hours))
 
 
-def nearest(left: DataFrame, right: DataFrame, by: tuple[str, ...], left_time: str, right_time: str, payload: tuple[str, ...], tolerance_us: int, rank: Column | None = None) -> DataFrame:
+def nearest(left: DataFrame, right: DataFrame, by: tuple[str, ...], left_time: str, right_time: str, payload: tuple[str, ...], tolerance_us: int, rank: Column | None = None, block_us: int = DAY_US) -> DataFrame:
     """``left`` with the ``payload`` and ``right_time`` of the nearest right row of the same ``by`` keys, within the tolerance (inclusive).
 
     Equal distances go to the earlier right row, equal times to the smallest ``rank``. Left rows without a partner do not appear.
 
-    Plan: a time-bucket equi-join. Only the distinct left times are matched; right rows are reduced to one per key and time and
-    entered in their own bucket and both neighbours (the right side is the smaller one), so each left time meets a few candidates of one
-    bucket; the winner is a ``min_by`` over distance. The matches then meet the left rows by key and time, the one wide shuffle.
+    Plan: one shuffle of the left side. Right rows are reduced map-side to one per key and time; both sides are united and sorted by time
+    within a key and block of time, the last and the next right row are carried onto the left rows and the nearer one is taken. A
+    right row near a block's edge goes into the neighbouring block too, so a key with very many rows spreads over its blocks.
     """
-    w = max(1, tolerance_us)
-    lt, rt = micros(left_time), micros(right_time)
-    times = left.select(*by, lt.alias("_t")).distinct().withColumn("_b", int_floor_div(F.col("_t"), w))
+    block = max(block_us, tolerance_us, 1)
+    names = [c for c in left.columns if c not in by]
     pick = F.struct(rank if rank is not None else F.lit(0), *[F.col(c) for c in payload])
-    cand = (
-        right.select(*by, rt.alias("_r"), pick.alias("_p")).groupBy(*by, "_r").agg(F.min("_p").alias("_p"))
-        .withColumn("_b", F.explode(F.array(*[int_floor_div(F.col("_r"), w) + d for d in ((-1, 0, 1) if tolerance_us else (0,))])))
-    )
-    gap = F.abs(F.col("_t") - F.col("_r"))
-    met = times.join(cand, [*by, "_b"]).where(gap <= tolerance_us)
-    best = met.groupBy(*by, "_t").agg(F.min_by(F.struct("_r", "_p"), F.struct(gap, F.col("_r"))).alias("_m"))
-    got = best.select(*by, F.timestamp_micros("_t").alias(left_time), F.timestamp_micros("_m._r").alias(right_time), *[F.col(f"_m._p.{c}").alias(c) for c in payload])
-    return left.join(got, [*by, left_time])
+    keyed = F.lit(True)
+    for k in by:  # NULL keys meet nothing
+        keyed = keyed & F.col(k).isNotNull()
+    known = right.where(F.col(right_time).isNotNull() & keyed).select(*by, micros(right_time).alias("_t"), pick.alias("_p")).groupBy(*by, "_t").agg(F.min("_p").alias("_p"))
+    record = F.struct(F.col("_t").alias("_r"), *[F.col(f"_p.{c}").alias(c) for c in payload])
+    near = F.array_distinct(F.array(*[int_floor_div(F.col("_t") + d, block) for d in (-tolerance_us, 0, tolerance_us)]))
+    types = dict(left.dtypes)
+    r = known.select(*by, "_t", F.explode(near).alias("_b"), record.alias("_rec"), F.lit(0).alias("_side"), *[F.lit(None).cast(types[c]).alias(c) for c in names])
+    timed = left.where(F.col(left_time).isNotNull() & keyed).withColumn("_t", micros(left_time))
+    l = timed.select(*by, "_t", int_floor_div(F.col("_t"), block).alias("_b"), F.lit(None).cast(r.schema["_rec"].dataType).alias("_rec"), F.lit(1).alias("_side"), *names)
+    back = Window.partitionBy(*by, "_b").orderBy("_t", "_side").rowsBetween(Window.unboundedPreceding, 0)
+    ahead = Window.partitionBy(*by, "_b").orderBy(F.col("_t").desc(), "_side").rowsBetween(Window.unboundedPreceding, 0)
+    both = l.unionByName(r).withColumns({"_last": F.last("_rec", ignorenulls=True).over(back), "_next": F.last("_rec", ignorenulls=True).over(ahead)}).where("_side = 1")
+    since, until = F.col("_t") - F.col("_last._r"), F.col("_next._r") - F.col("_t")
+    old, new = F.coalesce(since <= tolerance_us, F.lit(False)), F.coalesce(until <= tolerance_us, F.lit(False))
+    met = both.withColumn("_m", F.when(old & (~new | (since <= until)), F.col("_last")).when(new, F.col("_next"))).where("_m is not null")
+    return met.select(*left.columns, F.timestamp_micros("_m._r").alias(right_time), *[F.col(f"_m.{c}").alias(c) for c in payload])
 
 
 def verify(forecast: DataFrame, observation: DataFrame, location: DataFrame, tolerance_minutes: int = 30, min_lead_hours: int = 1) -> DataFrame:

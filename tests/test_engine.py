@@ -322,7 +322,7 @@ def test_numbers_in_text():
     assert n("between -3.5 and 1,234.5, .5 or a-1, 20-24") == ["-3.5", "1234.5", "0.5", "1", "20", "24"]
     assert n("version 1.2.3 and −4") == ["1", "2", "3", "-4"] and n("") == [] and n(None) == []
     assert n("12345,678 and (3)-5, x_-4") == ["12345678", "3", "-5", "4"]
-    assert n("ecmwf_ifs025 and temperature_2m over 48 hours; day-1 error (-2.0)") == ["025", "2", "48", "1", "-2.0"]
+    assert n("ecmwf_ifs025 and temperature_2m over 48 hours; day-1 error (-2.0)") == ["25", "2", "48", "1", "-2.0"]
     assert n("version 3.14.15, near 1,013 hPa") == ["3", "14", "15", "1013"]
 
 
