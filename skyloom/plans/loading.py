@@ -12,7 +12,7 @@ from skyloom import schemas
 from skyloom.operators import accuracy, alerts, audit, gold, ops, quality, upsert
 from skyloom.plans import verification as v
 from skyloom.session import shared_dir, table
-from skyloom.sources import bronze, parse
+from skyloom.sources import bronze, parse, staged
 from skyloom.sources.files import Files
 from skyloom.sources.versioned import VersionedTable
 from skyloom.streaming import pipeline
@@ -106,6 +106,25 @@ def melt_backfill_columns(spark, d):
     return _shown(good.where("ingestion_mode = 'backfill'"), F.col("source_event_id").cast("bigint").alias("response_id"))
 
 
+# ---- poll cycles ---------------------------------------------------------------------------------------------------------------
+@query(f"""WITH r AS (SELECT model, location_id, {_AT.format(1)} AS run FROM open_meteo_forecast_response WHERE len(hourly.time) > 0),
+ k AS (SELECT * FROM r WHERE run <= TIMESTAMP '2025-03-01' AND run >= TIMESTAMP '2025-03-01' - INTERVAL 2394 HOUR), t AS (SELECT model, max(run) AS run FROM k GROUP BY model)
+ SELECT DISTINCT sha256(model || '|' || location_id || '|' || strftime(run, '%Y-%m-%dT%H:%M:%S+00:00')) AS event_id, model, location_id FROM k JOIN t USING (model, run) WHERE location_id IS NOT NULL""")
+def forecast_poll_cycle(spark, d):
+    """The messages of one cycle over staged responses: the latest run of every model."""
+    r = table(spark, d, "open_meteo_forecast_response")
+    models = [x[0] for x in r.select("model").distinct().collect()]  # a handful, from settings otherwise
+    staged_rows = r.select("model", "location_id", F.get("hourly.time", F.lit(0)).alias("run"), F.struct("hourly").alias("api_response"))
+    return staged.forecast_cycle(staged_rows, models, NOW, 6, 400).messages.select("event_id", "model", "location_id")
+
+
+@query("""SELECT DISTINCT station FROM dim_location WHERE station IS NOT NULL AND NOT EXISTS
+ (SELECT 1 FROM iem_asos_sample s WHERE 'Q' || s.station = dim_location.station AND trim(metar) <> '' AND try_strptime(valid, '%Y-%m-%d %H:%M') IS NOT NULL)""")
+def stations_without_report(spark, d):
+    raw = table(spark, d, "iem_asos_sample").withColumn("station", F.concat(F.lit("Q"), "station"))
+    return staged.observation_cycle(parse.archive_reports(raw), table(spark, d, "dim_location"), NOW).missing
+
+
 # ---- gate and tables -----------------------------------------------------------------------------------------------------------
 _HARD = v._range("value", "hard")
 _LOAD = f"""{_MELT}, blocked AS (SELECT DISTINCT response_id FROM melt WHERE NOT ({_HARD}) OR model IS NULL OR location_id IS NULL),

@@ -44,11 +44,13 @@ def topic_stream(spark: SparkSession, topic: str, *, servers: str | None = None,
 
 
 def write_messages(df: DataFrame, topic: str, *, servers: str | None = None, lake: str | None = None) -> None:
-    """Send rows with ``key`` and ``value``: to Kafka where present, else appended to the lake."""
+    """Send rows with ``key`` and ``value``: to Kafka where present, else appended to the lake, dated and numbered where they are not."""
     if servers and has_kafka(df.sparkSession):
         df.select(F.col("key").cast("binary"), F.col("value").cast("binary")).write.format("kafka").option("kafka.bootstrap.servers", servers).option("topic", topic).save()
     else:
-        append_bronze(df.withColumn("topic", F.lit(topic)), lake)
+        now = F.current_timestamp()
+        lacking = {"dt": F.to_date(now), "kafka_partition": F.lit(0), "kafka_offset": F.monotonically_increasing_id(), "kafka_timestamp_ms": F.unix_millis(now)}
+        append_bronze(df.withColumns({"topic": F.lit(topic)} | {c: x for c, x in lacking.items() if c not in df.columns}), lake)
 
 
 def append_bronze(df: DataFrame, lake: str) -> None:

@@ -6,7 +6,10 @@ from test_engine import LIVE, metar, places
 from test_streams import send
 
 from skyloom import jobs
+from pyspark.sql import functions as F
+
 from skyloom.operators import audit
+from skyloom.sources import parse, staged
 
 AT = datetime(2025, 3, 1)
 
@@ -52,6 +55,25 @@ def test_audit(spark, tmp_path):
     assert {r["outcome"]: (r["calls"], r["cache_hit_rate"], r["latency_ms"]) for r in audit.call_usage(calls).collect()} == {"ok": (3, 0.5, 20.0), "bad": (0, 0.0, None)}
 
 
+def test_poll_cycles_over_staged_files(spark, tmp_path):
+    hour = '{"hourly": {"time": ["2025-02-28T18:00"], "temperature_2m": [1.5]}}'
+    rows_ = [("m1", "p1", "2025-02-28T18:00"), ("m1", "p1", "2025-02-28T18:00"), ("m1", "p2", "2025-02-28T18:00"), ("m1", "p1", "2025-02-28T12:00"), ("m2", "p1", "2025-02-01T00:00"), ("other", "p1", "2025-02-28T18:00")]
+    (tmp_path / "staged.json").write_text("[" + ",".join(f'{{"model": "{m}", "location_id": "{p}", "run": "{r}", "api_response": {hour}}}' for m, p, r in rows_) + "]")
+    schema = "model string, location_id string, run string, api_response struct<hourly: struct<time: array<string>, temperature_2m: array<double>>>"
+    c = staged.forecast_cycle(staged.read_json(spark, f"{tmp_path}/staged.json", schema), ["m1", "m2"], AT)
+    a = audit.Audit(spark, str(tmp_path / "a"))
+    assert c.send(a, AT, AT, lake=f"{tmp_path}/lake") == (2, 1)  # two places of the latest run; m2 has none in reach
+    run = a.read("ingestion_runs").first()
+    assert (run["source"], run["produced"], run["failed"], run["status"]) == ("forecast_producer", 2, 1, "failed")
+    good, bad = parse.split_forecasts(c.messages.select(F.col("value").cast("binary").alias("value")))
+    assert sorted((r["location_id"], r["value"], r["lead_hours"]) for r in good.collect()) == [("p1", 274.65, 0), ("p2", 274.65, 0)] and bad.count() == 0
+    reports = spark.createDataFrame([("AAAA", AT, "1", "r"), (None, AT, "1", "r"), ("AAAA", None, "1", "r")], "station string, observed_at timestamp, temp string, rawOb string")
+    for x in ("dewp", "wspd", "slp", "altim"):
+        reports = reports.withColumn(x, F.lit(None).cast("string"))
+    o = staged.observation_cycle(reports, places(spark), AT)
+    assert o.messages.count() == 1 and [r[0] for r in o.missing.collect()] == ["BBBB"]
+
+
 def test_load_accounting():
     def work(u):
         if u in (2, 4):
