@@ -17,6 +17,10 @@ from skyloom.sources import bronze, parse
 from skyloom.streaming import pipeline
 
 
+#: Lines of a listing; what is beyond them is counted.
+SHOWN = 12
+
+
 def _now() -> datetime:
     return datetime.now(timezone.utc).replace(tzinfo=None, microsecond=0)
 
@@ -81,8 +85,15 @@ def trace(spark: SparkSession, a: argparse.Namespace, s: Settings) -> int:
     tables, g = pipeline.Tables(spark, a.out), gold.Gold(spark, a.out, s)
     t = ops.trace_event(event, tables.forecast.read(), g.verification.read(), g.accuracy.read())
     print(f"event {event}: {hits.count()} messages, {t['keys'].count()} rows written, {t['verification'].count()} verifications, {t['accuracy'].count()} accuracy rows")
-    for r in t["current"].orderBy(F.col("rows").desc(), "source_event_id").limit(12).collect():
+    current = t["current"].checkpoint()
+    for r in current.orderBy(F.col("rows").desc(), "source_event_id").limit(SHOWN).collect():
         print(f"  {r['rows']} rows now from {r['source_event_id']}")
+    if (more := current.count() - SHOWN) > 0:
+        print(f"  ... and {more} more")
+    points = hits.select(F.get_json_object(F.col("value").cast("string"), "$.source").alias("source"), F.timestamp_millis("kafka_timestamp_ms").alias("t"), F.col("kafka_offset").alias("offset"))
+    runs = audit.Audit(spark, a.out).read("ingestion_runs").select("source", "started_at", "finished_at")
+    for r in ops.containing_run(points, runs, "offset", "t", ["source"]).where("started_at is not null").orderBy("offset").limit(SHOWN).collect():
+        print(f"  message {r['offset']} came in the run of {r['source']} from {r['started_at']} to {r['finished_at']}")
     return 0
 
 

@@ -66,6 +66,11 @@ def verify(forecast: DataFrame, observation: DataFrame, location: DataFrame, tol
     )
 
 
+def canonical(verification: DataFrame) -> DataFrame:
+    """Verification rows in their order of presentation."""
+    return verification.orderBy("valid_time", "location_id", "model", "variable", "init_time")
+
+
 def unmatched(forecast: DataFrame, verification: DataFrame, key: str = "forecast_id", min_lead_hours: int = 1) -> DataFrame:
     """Eligible forecast rows without a verification row."""
     return eligible(forecast, min_lead_hours).join(verification.select(key), key, "left_anti")

@@ -6,7 +6,10 @@ partition and offset, the lake by its checkpointed file sink.
 
 from __future__ import annotations
 
-from collections.abc import Callable
+import signal
+import threading
+import time
+from collections.abc import Callable, Sequence
 from datetime import datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
@@ -46,6 +49,28 @@ def start(stream: DataFrame, handle: Callable[[DataFrame, int], None], checkpoin
     return (w.trigger(availableNow=True) if drain else w.trigger(processingTime=f"{seconds} seconds")).start()
 
 
+def run_until(queries: Sequence[StreamingQuery], stop: threading.Event, grace_seconds: float = 60) -> None:
+    """Let streams run until ``stop`` is set (see ``on_signal``) or one of them ends, then stop them all, each between two batches if it can.
+
+    A batch that does not end within the grace is interrupted; its sinks are idempotent and it runs again after a restart.
+    """
+    while not stop.wait(0.2) and all(q.isActive for q in queries):
+        pass
+    for q in queries:
+        end = time.monotonic() + grace_seconds
+        while q.isActive and q.status["isTriggerActive"] and time.monotonic() < end:
+            time.sleep(0.05)
+        q.stop()
+
+
+def on_signal(*signals: int) -> threading.Event:
+    """An event that SIGTERM and SIGINT (or the given signals) set."""
+    stop = threading.Event()
+    for s in signals or (signal.SIGTERM, signal.SIGINT):
+        signal.signal(s, lambda *_: stop.set())
+    return stop
+
+
 def start_bronze(stream: DataFrame, lake: str, checkpoint: str, drain: bool) -> StreamingQuery:
     w = stream.writeStream.format("parquet").option("path", lake).option("checkpointLocation", checkpoint).partitionBy("topic", "dt")
     return (w.trigger(availableNow=True) if drain else w.trigger(processingTime="5 seconds")).start()

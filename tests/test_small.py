@@ -21,6 +21,41 @@ def test_latest_alert_per_location(spark):
     assert tuples(alerts.latest_per_location(df, "seq"), "location_id", "alert_id") == [("p", "c"), ("q", "d")]
 
 
+def test_streams_stop_on_a_signal_between_batches():
+    import os
+    import signal
+
+    from skyloom.streaming import pipeline
+
+    class Query:
+        def __init__(self, busy):
+            self.busy, self.isActive, self.stopped_busy = busy, True, None
+
+        @property
+        def status(self):
+            self.busy -= 1
+            return {"isTriggerActive": self.busy > 0}
+
+        def stop(self):
+            self.isActive, self.stopped_busy = False, self.busy > 0
+
+    before = signal.getsignal(signal.SIGUSR1)
+    queries = [Query(3), Query(0)]
+    stop = pipeline.on_signal(signal.SIGUSR1)
+    os.kill(os.getpid(), signal.SIGUSR1)
+    pipeline.run_until(queries, stop)
+    signal.signal(signal.SIGUSR1, before)
+    assert stop.is_set() and [q.stopped_busy for q in queries] == [False, False]
+    stuck = Query(10**9)
+    pipeline.run_until([stuck], stop, grace_seconds=0.1)
+    assert stuck.stopped_busy
+
+
+def test_topics_to_create():
+    assert [t for t, _, _ in bronze.missing_topics(["weather.dlq.v1"])] == ["weather.forecast.raw.v1", "weather.observation.raw.v1", "weather.alert.v1", "weather.briefing.v1"]
+    assert bronze.missing_topics([])[1][1:] == (6, 604_800_000)
+
+
 def test_messages_go_to_the_lake_without_kafka(spark, tmp_path):
     df = spark.createDataFrame([(datetime(2025, 2, 1).date(), 0, 7, 1000, b"k", b"v")], "dt date, kafka_partition int, kafka_offset bigint, kafka_timestamp_ms bigint, key binary, value binary")
     bronze.write_messages(df, "weather.alert.v1", lake=f"{tmp_path}/lake")
